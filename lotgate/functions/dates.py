@@ -22,7 +22,9 @@ def parse_dom(c: Column) -> Column:
     Only ``try_`` functions are used, so ANSI mode never raises.
     """
     # TRIM strips space separators; the parser then skips ASCII whitespace.
-    t = F.regexp_replace(trim_spaces(c), _ASCII_WS_EDGES, "")
+    # Text already in shape (the common case) skips both replacements.
+    t = F.when(c.rlike(_DOM_SHAPE), c).otherwise(
+        F.regexp_replace(trim_spaces(c), _ASCII_WS_EDGES, ""))
     parts = F.split(t, "/")
     year = F.lpad(parts.getItem(2), 4, "0")
     padded = F.concat_ws("/", parts.getItem(0), parts.getItem(1), year)

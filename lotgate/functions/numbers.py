@@ -45,6 +45,8 @@ def double_text(d: Column) -> Column:
         .when(d == F.lit(float("inf")), F.lit("inf"))
         .when(d == F.lit(float("-inf")), F.lit("-inf"))
         .when(d == F.lit(0.0), raw)
+        # The JVM already writes plain shortest digits in [1e-3, 1e7).
+        .when((absd >= F.lit(1e-3)) & (absd < F.lit(1e7)), raw)
         .when((absd >= F.lit(1e-4)) & (absd < F.lit(1e16)), plain)
         .otherwise(sci)
     )

@@ -36,4 +36,4 @@ def strip_whitespace(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """NULL or empty after trimming (P-5)."""
-    return c.isNull() | (trim_spaces(c) == F.lit(""))
+    return c.isNull() | c.rlike(r"^\p{Zs}*$")

@@ -27,6 +27,25 @@ from lotgate.schemas import MODEL_TABLES, empty_model
 
 KEY_NAMES = ["Batch Name", "Manufacturer", "Process", "Unit Operation", "Parameter"]
 
+# Columns of the grouping-sets aggregate and the set each dimension needs.
+ENTITY_COLS = ["Manufacturer", "Process", "Unit Operation", "Parameter", "Batch Name", "DoM"]
+ENTITY_SETS = {
+    "manufacturer": ("Manufacturer",),
+    "process": ("Process",),
+    "unit_operation": ("Process", "Unit Operation"),
+    "parameter": ("Process", "Unit Operation", "Parameter"),
+    "batch": ("Batch Name", "Manufacturer", "DoM"),
+}
+
+
+def _grouping_id(group: tuple[str, ...]) -> int:
+    """Spark's grouping id: one bit per column, set when it is aggregated away,
+    the first column being the most significant bit."""
+    gid = 0
+    for c in ENTITY_COLS:
+        gid = (gid << 1) | (0 if c in group else 1)
+    return gid
+
 
 @dataclass
 class Migration:
@@ -56,20 +75,29 @@ def migrate_history(history: DataFrame, model: dict[str, DataFrame] | None = Non
         model[name] = res.next_state
         inserted[name] = res.inserted
 
-    step("manufacturer", src.select(F.col("Manufacturer").alias("name")).distinct())
-    step("process", src.select(F.col("Process").alias("process_name")).distinct())
+    # Every distinct entity set (A-6) in one scan and one shuffle: a
+    # grouping-sets aggregate tagged by grouping id, kept in the reliable
+    # checkpoint folder because each dimension step reads it.
+    entities = src.groupingSets(
+        [list(g) for g in ENTITY_SETS.values()], *ENTITY_COLS
+    ).agg(F.grouping_id().alias("_gid")).checkpoint(eager=True)
+
+    def entity(name: str) -> DataFrame:
+        return entities.filter(F.col("_gid") == _grouping_id(ENTITY_SETS[name])) \
+            .select(*ENTITY_SETS[name])
+
+    step("manufacturer", entity("manufacturer").select(F.col("Manufacturer").alias("name")))
+    step("process", entity("process").select(F.col("Process").alias("process_name")))
 
-    uo = src.select("Process", "Unit Operation").distinct()
+    uo = entity("unit_operation")
     pid = model["process"].select(F.col("process_name").alias("_pn"), "process_id")
     step("unit_operation", uo.join(bounded_broadcast(pid), uo["Process"] == pid["_pn"])
          .select("process_id", F.col("Unit Operation").alias("unit_operation_name")))
 
-    params = src.select("Process", "Unit Operation", "Parameter").distinct()
-    step("parameter", lookup_unit_operation(params, model["process"], model["unit_operation"])
+    step("parameter", lookup_unit_operation(entity("parameter"), model["process"], model["unit_operation"])
          .select("unit_operation_id", F.col("Parameter").alias("parameter_name")))
 
-    batches = src.select("Batch Name", "Manufacturer", "DoM").distinct()
-    step("batch", lookup_manufacturer(batches, model["manufacturer"]).select(
+    step("batch", lookup_manufacturer(entity("batch"), model["manufacturer"]).select(
         F.col("Batch Name").alias("batch_name"), parse_dom(F.col("DoM")).alias("dom"),
         "manufacturer_id"))
 
