@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lotgate.functions.numbers import values_differ
 from lotgate.operators.keys import assign_keys
+from lotgate.operators.lookups import BROADCAST_ROW_LIMIT
 from lotgate.schemas import KEYS, conform
 
 
@@ -74,26 +75,47 @@ def classify_results(result: DataFrame, incoming: DataFrame) -> DataFrame:
     return joined.withColumn("action", action)
 
 
-def upsert_results(result: DataFrame, incoming: DataFrame, ts_col: str = "load_timestamp") -> Upserted:
-    """Update changed values and insert new results (U-2 + U-1 on result).
-
-    *incoming* has batch_id, parameter_id, value and *ts_col*.  Updated rows
-    take the new value and ``modified_at`` = *ts_col*; new rows get ids after
-    the current maximum.
-    """
-    classified = classify_results(result, incoming)
+def _apply_changes(stored: DataFrame, classified: DataFrame, ts_col: str) -> DataFrame:
+    """Stored rows with updated values and ``modified_at`` where classified 'updated'."""
     changes = classified.filter(F.col("action") == "updated").select(
         "batch_id", "parameter_id", F.col("value").alias("_new_value"),
         F.col(ts_col).alias("_new_ts"), F.lit(True).alias("_changed"))
-    kept = (
-        conform(result, "result")
+    return (
+        conform(stored, "result")
         .join(changes, ["batch_id", "parameter_id"], "left")
         .withColumn("value", F.when(F.col("_changed"), F.col("_new_value")).otherwise(F.col("value")))
         .withColumn("modified_at", F.when(F.col("_changed"), F.col("_new_ts")).otherwise(F.col("modified_at")))
     )
+
+
+def upsert_results(result: DataFrame, incoming: DataFrame, ts_col: str = "load_timestamp") -> Upserted:
+    """Update changed values and insert new results (U-2 + U-1 on result).
+
+    *incoming* has batch_id, parameter_id, value and *ts_col*.  Updated rows
+    take the new value and ``modified_at`` = *ts_col*; new rows get ids after
+    the current maximum.
+
+    A load touches few batches of a large result table.  When the touched
+    batch ids fit the broadcast bound, stored results are split map-side
+    (broadcast semi / anti join): untouched ones pass through unshuffled and
+    only touched ones are joined with the incoming rows.  Beyond the bound,
+    one shuffle join of the whole table is used.
+    """
+    touched = incoming.select("batch_id").distinct()
+    limit = BROADCAST_ROW_LIMIT
+    if touched.limit(limit + 1).count() <= limit:
+        ids = F.broadcast(touched)
+        stored = result.join(ids, "batch_id", "left_semi")
+        untouched = conform(result.join(ids, "batch_id", "left_anti"), "result")
+    else:
+        stored, untouched = result, None
+    classified = classify_results(stored, incoming)
+    kept = conform(_apply_changes(stored, classified, ts_col), "result")
+    if untouched is not None:
+        kept = untouched.unionByName(kept)
     fresh = classified.filter(F.col("action") == "new").select(
         "batch_id", "parameter_id", "value", ts_col)
     with_ids = assign_keys(fresh, ["batch_id", "parameter_id"], "result_id",
                            after_max_of=result)
     inserted = conform(_timestamps(with_ids, F.col(ts_col)), "result")
-    return Upserted(conform(kept, "result").unionByName(inserted), classified, inserted)
+    return Upserted(kept.unionByName(inserted), classified, inserted)

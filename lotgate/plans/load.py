@@ -49,15 +49,18 @@ def load_summary(model: dict[str, DataFrame]) -> DataFrame:
                                 F.max("total_results").alias("total_results"))
 
 
-def review_loaded(model: dict[str, DataFrame], valid: DataFrame) -> DataFrame:
+def review_loaded(model: dict[str, DataFrame], valid: DataFrame,
+                  hier: DataFrame | None = None) -> DataFrame:
     """All stored results of the batches touched by *valid*, as names, sorted (L-3).
 
     The touched batches are found first (semi join on the distinct submitted
     names, J-10), so the large result table is joined only on their ids.
     """
-    touched = model["batch"].join(
-        valid.select(F.col("Batch Name").alias("batch_name")).distinct(), "batch_name", "left_semi")
-    hier = bounded_broadcast(hierarchy_dim(model["process"], model["unit_operation"], model["parameter"]))
+    touched = bounded_broadcast(model["batch"].join(
+        valid.select(F.col("Batch Name").alias("batch_name")).distinct(), "batch_name", "left_semi"))
+    if hier is None:
+        hier = hierarchy_dim(model["process"], model["unit_operation"], model["parameter"])
+    hier = bounded_broadcast(hier)
     m = bounded_broadcast(model["manufacturer"].select("manufacturer_id", F.col("name").alias("manufacturer")))
     return (
         model["result"].select("batch_id", "parameter_id", "value", "created_at", "modified_at")
@@ -87,9 +90,13 @@ def recurring_load(valid: DataFrame, model: dict[str, DataFrame], check: bool =
     batches = insert_if_absent("batch", model["batch"], fresh, ts_col="load_timestamp")
     model["batch"] = batches.next_state
 
-    hier = hierarchy_dim(model["process"], model["unit_operation"], model["parameter"])
+    # Resolved once: the touched-batch split, the classification and the
+    # insert all read it, and it carries the only shuffle of the submissions.
+    hier = hierarchy_dim(model["process"], model["unit_operation"], model["parameter"]) \
+        .checkpoint(eager=True)
     incoming = resolve_keys(valid, model["batch"], hier).select(
-        "batch_id", "parameter_id", F.col("Value").alias("value"), "load_timestamp")
+        "batch_id", "parameter_id", F.col("Value").alias("value"), "load_timestamp"
+    ).checkpoint(eager=True)
     up = upsert_results(model["result"], incoming)
     model["result"] = up.next_state
 
@@ -100,5 +107,5 @@ def recurring_load(valid: DataFrame, model: dict[str, DataFrame], check: bool =
         new_batches=batches.inserted,
         classified=up.classified,
         summary=load_summary(model),
-        review=review_loaded(model, valid),
+        review=review_loaded(model, valid, hier),
     )

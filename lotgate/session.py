@@ -24,6 +24,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # max(id) before key assignment is answered from Parquet footers.
+        .config("spark.sql.parquet.aggregatePushdown", "true")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
