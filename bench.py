@@ -30,8 +30,12 @@ from lotgate.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 
 
 def session(cpus: str) -> SparkSession:
+    builder = SparkSession.builder
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # stage timings, scratch folder only
+    if event_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("lotgate-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

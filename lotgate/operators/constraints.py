@@ -91,27 +91,36 @@ def check_constraints(model: dict[str, DataFrame]) -> None:
 
 
 def check_inserted(inserted: dict[str, DataFrame]) -> None:
-    """Key and NOT NULL checks on freshly inserted rows only, one job per table.
+    """Key and NOT NULL checks on freshly inserted rows only, all tables in one job.
 
     Stored rows were checked when they were published and the insert anti
     join keeps new keys apart from them, so checking the delta suffices and
     never rescans a large table.
     """
-    problems: list[str] = []
+    parts = []
     for name, table in inserted.items():
         keys = KEYS[name]
         bk = list(keys.business_key)
+        nulls = [F.count_if(F.col(c).isNull()) for c in keys.not_null]
         per_key = table.groupBy(*bk).agg(
             F.count(F.lit(1)).alias("_n"),
-            *[F.count_if(F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(keys.not_null)])
-        row = per_key.agg(
-            F.coalesce(F.max("_n"), F.lit(0)).alias("most"),
-            *[F.coalesce(F.sum(f"_z{i}"), F.lit(0)).alias(f"_z{i}") for i in range(len(keys.not_null))],
-        ).first()
+            (sum(nulls[1:], nulls[0]) if nulls else F.lit(0)).alias("_z"))
+        parts.append(per_key.agg(
+            F.lit(name).alias("table_name"),
+            F.coalesce(F.max("_n"), F.lit(0)).cast("long").alias("most"),
+            F.coalesce(F.sum("_z"), F.lit(0)).cast("long").alias("nulls"),
+        ))
+    if not parts:
+        return
+    report = parts[0]
+    for p in parts[1:]:
+        report = report.unionByName(p)
+    problems: list[str] = []
+    for row in report.collect():
+        keys = KEYS[row["table_name"]]
         if row["most"] > 1:
-            problems.append(f"{name}: duplicate {', '.join(bk)} in inserted rows")
-        for i, c in enumerate(keys.not_null):
-            if row[f"_z{i}"]:
-                problems.append(f"{name}: {row[f'_z{i}']} NULL in {c}")
+            problems.append(f"{row['table_name']}: duplicate {', '.join(keys.business_key)} in inserted rows")
+        if row["nulls"]:
+            problems.append(f"{row['table_name']}: {row['nulls']} NULL in {', '.join(keys.not_null)}")
     if problems:
         raise ConstraintViolation("; ".join(problems))

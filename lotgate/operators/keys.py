@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotgate.session import ensure_checkpoint_dir
@@ -35,12 +35,6 @@ def current_max(table: DataFrame, id_col: str) -> int:
     return int(row["m"]) if row is not None and row["m"] is not None else 0
 
 
-def _partitions(spark: SparkSession, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def assign_keys(
     rows: DataFrame,
     key_cols: list[str],
@@ -58,10 +52,13 @@ def assign_keys(
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
-    n = _partitions(spark, num_partitions)
     ordered = [F.col(k).asc_nulls_first() for k in key_cols]
+    # Without an explicit count AQE sizes the range partitions from the data;
+    # it only merges neighbouring ranges, so partition order stays key order.
+    ranged = (rows.repartitionByRange(num_partitions, *ordered) if num_partitions
+              else rows.repartitionByRange(*ordered))
     tagged = (
-        rows.repartitionByRange(n, *ordered)
+        ranged
         .sortWithinPartitions(*ordered)
         .withColumn(_PART, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())

@@ -147,3 +147,11 @@ def test_publish_dry_run_and_reset_guard(spark):
     assert store.read("manufacturer").count() == 2
     store.initialize(reset=True)
     assert store.read("result").count() == 0
+
+
+def test_keys_with_adaptive_partitions(spark):
+    # Default path: AQE sizes (and may merge) the range partitions.
+    df = spark.createDataFrame([(i % 7, f"n{i:03d}") for i in range(300)], "a long, b string")
+    got = assign_keys(df.repartition(11), ["a", "b"], "id", start_after=5)
+    ids = {(r.a, r.b): r.id for r in got.collect()}
+    assert [ids[k] for k in sorted(ids)] == list(range(6, 306))
