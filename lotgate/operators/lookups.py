@@ -21,6 +21,22 @@ def bounded_broadcast(dim: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
     return dim
 
 
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
+    return df.limit(limit + 1).count() <= limit
+
+
+def restrict_to_keys(table: DataFrame, col: str, keys: DataFrame, key_col: str,
+                     limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Rows of a (large) *table* whose *col* occurs in *keys*.
+
+    *keys* is small per run (the names one upload touches); within the bound
+    it is broadcast and the table is filtered map-side without a shuffle.
+    """
+    k = keys.select(F.col(key_col).alias("_r_key")).distinct()
+    k = F.broadcast(k) if fits_broadcast(k, limit) else k
+    return table.join(k, table[col] == k["_r_key"], "left_semi")
+
+
 def bounded_broadcast_all(dims: list[DataFrame], limit: int = BROADCAST_ROW_LIMIT) -> list[DataFrame]:
     """:func:`bounded_broadcast` for several frames, sized in one job."""
     if not dims:
@@ -88,10 +104,16 @@ def resolve_parameter(rows: DataFrame, hier: DataFrame) -> DataFrame:
 def resolve_keys(rows: DataFrame, batch: DataFrame, hier: DataFrame) -> DataFrame:
     """Names to (batch_id, parameter_id) (J-3).
 
-    The hierarchy is reference data and is broadcast behind a size check; the
-    batch table grows with the data, so it is joined by shuffle on the batch
-    name (AQE may still broadcast it at run time when it is small).
+    The hierarchy is reference data and is broadcast behind a size check.  The
+    batch table grows with the data: when the rows name few enough batches it
+    is filtered map-side by a broadcast of those names and the result is
+    broadcast; otherwise it is a shuffle join on the batch name.
     """
     with_param = resolve_parameter(rows, hier)
+    named = with_param.select("Batch Name").distinct()
+    if fits_broadcast(named):
+        # Few batch names per run: filter the batch table map-side and
+        # broadcast the matching rows, so nothing large shuffles.
+        batch = F.broadcast(restrict_to_keys(batch, "batch_name", named, "Batch Name"))
     b = batch.select(F.col("batch_name").alias("_b_name"), "batch_id")
     return with_param.join(b, with_param["Batch Name"] == b["_b_name"], "inner").drop("_b_name")

@@ -9,8 +9,12 @@ upload) looks at other rows, and it depends only on rules 1 and 2; rules 4 to
 * rule 3 is one aggregate per batch name over the survivors of rules 1-2
   (partial aggregation before the shuffle, so a huge batch is no hot task);
 * rule 4 needs the stored batch row: the per-batch aggregate is joined to the
-  batch table (one row per batch on both sides), then the small per-batch
-  verdict is joined back to the rows once;
+  batch table (one row per batch on both sides), then the per-batch verdict
+  is joined back to the rows once.  When the upload names few enough batches
+  (the usual case: one upload against a large history) the batch table is
+  filtered map-side by a broadcast of those names and the verdict is
+  broadcast back, so neither the submissions nor the batch table shuffle;
+  otherwise both joins are shuffle joins (AQE splits a hot batch);
 * rules 5 to 8 are left joins to unique-key reference dimensions, broadcast
   behind a size check;
 * the label is the first rule that fires.
@@ -25,7 +29,9 @@ from pyspark.sql import functions as F
 
 from lotgate.functions.dates import parse_dom
 from lotgate.functions.text import is_blank, trim_spaces
-from lotgate.operators.lookups import bounded_broadcast_all, hierarchy_dim, unit_operation_dim
+from lotgate.operators.lookups import (
+    bounded_broadcast_all, fits_broadcast, hierarchy_dim, restrict_to_keys, unit_operation_dim,
+)
 
 # The stage labels, in rule order; rules 3 and 4 share a label.
 STAGE_LABELS = [
@@ -90,13 +96,23 @@ def label_rows(staging: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     # Rule 3 over the survivors of rules 1-2, then rule 4's stored batch row,
     # combined per batch name before touching the rows again.
     surv = s.filter(~is_blank(F.col("Batch Name")) & F.col("_dom").isNotNull())
-    conflicts = upload_conflicts(surv)
-    stored = model["batch"].select(
+    # One row per surviving batch name, partially aggregated before its
+    # shuffle and kept in the checkpoint folder (the rows are read once more).
+    conflicts = upload_conflicts(surv).checkpoint(eager=True)
+    small = fits_broadcast(conflicts)
+    batch = model["batch"]
+    if small:
+        # Only the stored batches this upload names, filtered map-side.
+        batch = F.broadcast(restrict_to_keys(batch, "batch_name", conflicts, "Batch Name"))
+    stored = batch.select(
         F.col("batch_name").alias("_b_name"), F.lit(True).alias("_b_found"),
         F.col("dom").alias("_b_dom"), F.col("manufacturer_id").alias("_b_mid"))
     per_batch = conflicts.join(
         stored, conflicts["Batch Name"] == stored["_b_name"], "left"
     ).drop("_b_name").withColumnRenamed("Batch Name", "_pb_name")
+    if small:
+        # The verdict goes to the rows by broadcast: the submissions are not shuffled.
+        per_batch = F.broadcast(per_batch)
     s = s.join(per_batch, s["Batch Name"] == per_batch["_pb_name"], "left").drop("_pb_name")
 
     # Rules 5-8: unique-key reference dimensions, sized together in one job.
