@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from lotgate import fixtures as fx
 from lotgate.functions.audit import HASH_FIELDS, rejection_hash
 from lotgate.functions.dates import parse_dom
-from lotgate.functions.numbers import canonical_value, values_differ
+from lotgate.functions.numbers import canonical_value
 from lotgate.operators.constraints import dangling_references, duplicate_keys, duplicate_results, null_counts
 from lotgate.operators.keys import assign_keys
 from lotgate.operators.lookups import (
@@ -34,9 +34,10 @@ from lotgate.plans.load import recurring_load
 from lotgate.plans.migrate import migrate_history, migration_summary
 from lotgate.plans.publish import ModelStore
 from lotgate.plans.validate import stage_raw, validate_uploads
-from lotgate.schemas import REQUIRED_COLUMNS, empty_table
+from lotgate.schemas import REQUIRED_COLUMNS
 from lotgate.session import ensure_checkpoint_dir, scratch_path
 from lotgate.sources.uploads import read_history, read_uploads
+from lotgate.streaming.intake import start_intake
 
 SUBMISSION = REQUIRED_COLUMNS + ["source_file"]
 STAGED_OUT = SUBMISSION + ["is_rejected", "rejection_stage"]
@@ -594,6 +595,21 @@ def _load_dry_run(st: State) -> DataFrame:
             F.lit("result").alias("table_name"), "row_count"))
 
 
+@check("stream_intake", with_ctes("SELECT result_id, batch_id, parameter_id, value FROM result_next"))
+def _stream_intake(st: State) -> DataFrame:
+    """The upload folder as a stream: the unique valid rows arrive as CSV files,
+    one micro-batch validates, loads and publishes them into a store holding
+    the migrated history; the stored result table is the load's next state."""
+    store = ModelStore(scratch_path(st.spark, "stream-store"), st.spark)
+    store.publish({k: v for k, v in st.model.items() if k != "rejected_records"}, run_id="history")
+    folder = scratch_path(st.spark, "stream-uploads")
+    (st.clean.select(*REQUIRED_COLUMNS).write.option("header", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .csv(folder))
+    start_intake(st.spark, folder, store, scratch_path(st.spark, "stream-ckpt")).awaitTermination()
+    return store.read("result").select("result_id", "batch_id", "parameter_id", "value")
+
+
 # Audit (R-1, U-4) ----------------------------------------------------------------
 
 @check("reject_audit", with_ctes(
