@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotgate.functions.audit import rejection_hash, row_json
 from lotgate.operators.keys import assign_keys
+from lotgate.operators.lookups import restrict_to_keys
 from lotgate.operators.rules import INTERNAL
 from lotgate.schemas import conform
 
@@ -39,7 +40,11 @@ def audit_rejections(staged: DataFrame, audit: DataFrame, run_ts: Column) -> Aud
     copies of one rejected row are combined map-side before the shuffle.
     """
     candidates = rejection_rows(staged).dropDuplicates(["rejection_hash"])
-    fresh = candidates.join(audit.select("rejection_hash"), "rejection_hash", "left_anti")
+    # The audit only grows; the hashes of this run are few, so the stored
+    # hashes are filtered map-side by a broadcast of them (when bounded).
+    known = restrict_to_keys(audit.select("rejection_hash"), "rejection_hash",
+                             candidates, "rejection_hash")
+    fresh = candidates.join(known, "rejection_hash", "left_anti")
     with_ids = assign_keys(fresh, ["rejection_hash"], "rejected_id",
                            after_max_of=audit)
     inserted = conform(with_ids.withColumn("created_at", run_ts), "rejected_records")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lotgate.functions.numbers import values_differ
 from lotgate.operators.keys import assign_keys
-from lotgate.operators.lookups import BROADCAST_ROW_LIMIT
+from lotgate.operators.lookups import BROADCAST_ROW_LIMIT, restrict_to_keys
 from lotgate.schemas import KEYS, conform
 
 
@@ -42,7 +42,12 @@ def insert_if_absent(
     """
     keys = KEYS[table_name]
     bk = list(keys.business_key)
-    existing = table.select(*[F.col(k).alias(f"_x_{k}") for k in bk])
+    stored = table
+    if len(bk) == 1:
+        # Large tables (batch) are filtered map-side by a broadcast of the
+        # candidate keys when those are bounded, so the anti join stays small.
+        stored = restrict_to_keys(table, bk[0], candidates, bk[0])
+    existing = stored.select(*[F.col(k).alias(f"_x_{k}") for k in bk])
     cond = None
     for k in bk:
         c = candidates[k] == existing[f"_x_{k}"]

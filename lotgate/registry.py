@@ -60,7 +60,11 @@ class State:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "State":
-        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # a client session has no context; key by session
+            app = str(id(spark))
+        key = (app, os.path.abspath(sf_dir))
         if key not in cls._cache:
             cls._cache[key] = cls(spark, sf_dir)
         return cls._cache[key]

@@ -36,7 +36,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if none is set."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a client session: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
     current = sc.getCheckpointDir()
     if current:
         return current
