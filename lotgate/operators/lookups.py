@@ -6,41 +6,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Reference dimensions above this many rows are joined by shuffle instead.
-BROADCAST_ROW_LIMIT = 2_000_000
+# Frames above this many rows are joined by shuffle instead of broadcast.
+# Every broadcast frame here is narrow (ids, names, a date, a flag), so the
+# bound keeps a broadcast well under a few hundred MB.  A session may lower
+# or raise it with the ``lotgate.broadcast.maxRows`` setting.
+BROADCAST_ROW_LIMIT = 1_000_000
 
 
-def bounded_broadcast(dim: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def broadcast_limit(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.conf.get("lotgate.broadcast.maxRows", str(BROADCAST_ROW_LIMIT)))
+    except Exception:
+        return BROADCAST_ROW_LIMIT
+
+
+def bounded_broadcast(dim: DataFrame, limit: int | None = None) -> DataFrame:
     """Broadcast *dim* only when it provably has at most *limit* rows.
 
     The check reads at most ``limit + 1`` rows; beyond the bound the frame is
     returned unchanged and the planner (with AQE) picks a shuffle join.
     """
+    limit = limit or broadcast_limit(dim)
     if dim.limit(limit + 1).count() <= limit:
         return F.broadcast(dim)
     return dim
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
+def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    limit = limit or broadcast_limit(df)
     return df.limit(limit + 1).count() <= limit
 
 
 def restrict_to_keys(table: DataFrame, col: str, keys: DataFrame, key_col: str,
-                     limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                     limit: int | None = None, small: bool | None = None) -> DataFrame:
     """Rows of a (large) *table* whose *col* occurs in *keys*.
 
     *keys* is small per run (the names one upload touches); within the bound
     it is broadcast and the table is filtered map-side without a shuffle.
+    *small* passes a size check the caller already made.
     """
     k = keys.select(F.col(key_col).alias("_r_key")).distinct()
-    k = F.broadcast(k) if fits_broadcast(k, limit) else k
+    if small is None:
+        small = fits_broadcast(k, limit)
+    k = F.broadcast(k) if small else k
     return table.join(k, table[col] == k["_r_key"], "left_semi")
 
 
-def bounded_broadcast_all(dims: list[DataFrame], limit: int = BROADCAST_ROW_LIMIT) -> list[DataFrame]:
+def bounded_broadcast_all(dims: list[DataFrame], limit: int | None = None) -> list[DataFrame]:
     """:func:`bounded_broadcast` for several frames, sized in one job."""
     if not dims:
         return []
+    limit = limit or broadcast_limit(dims[0])
     parts = [d.limit(limit + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
              for i, d in enumerate(dims)]
     sized = parts[0]
@@ -114,6 +130,6 @@ def resolve_keys(rows: DataFrame, batch: DataFrame, hier: DataFrame) -> DataFram
     if fits_broadcast(named):
         # Few batch names per run: filter the batch table map-side and
         # broadcast the matching rows, so nothing large shuffles.
-        batch = F.broadcast(restrict_to_keys(batch, "batch_name", named, "Batch Name"))
+        batch = F.broadcast(restrict_to_keys(batch, "batch_name", named, "Batch Name", small=True))
     b = batch.select(F.col("batch_name").alias("_b_name"), "batch_id")
     return with_param.join(b, with_param["Batch Name"] == b["_b_name"], "inner").drop("_b_name")

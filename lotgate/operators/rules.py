@@ -103,7 +103,7 @@ def label_rows(staging: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     batch = model["batch"]
     if small:
         # Only the stored batches this upload names, filtered map-side.
-        batch = F.broadcast(restrict_to_keys(batch, "batch_name", conflicts, "Batch Name"))
+        batch = F.broadcast(restrict_to_keys(batch, "batch_name", conflicts, "Batch Name", small=True))
     stored = batch.select(
         F.col("batch_name").alias("_b_name"), F.lit(True).alias("_b_found"),
         F.col("dom").alias("_b_dom"), F.col("manufacturer_id").alias("_b_mid"))

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from lotgate.functions.numbers import values_differ
 from lotgate.operators.keys import assign_keys
-from lotgate.operators.lookups import BROADCAST_ROW_LIMIT, restrict_to_keys
-from lotgate.schemas import KEYS, conform
+from lotgate.operators.lookups import fits_broadcast, restrict_to_keys
+from lotgate.schemas import GROWING_TABLES, KEYS, conform
 
 
 @dataclass
@@ -43,9 +43,10 @@ def insert_if_absent(
     keys = KEYS[table_name]
     bk = list(keys.business_key)
     stored = table
-    if len(bk) == 1:
-        # Large tables (batch) are filtered map-side by a broadcast of the
-        # candidate keys when those are bounded, so the anti join stays small.
+    if table_name in GROWING_TABLES and len(bk) == 1:
+        # Tables that grow with the data (batch) are filtered map-side by a
+        # broadcast of the candidate keys when those are bounded, so the anti
+        # join stays small; reference dimensions are joined as they are.
         stored = restrict_to_keys(table, bk[0], candidates, bk[0])
     existing = stored.select(*[F.col(k).alias(f"_x_{k}") for k in bk])
     cond = None
@@ -107,8 +108,7 @@ def upsert_results(result: DataFrame, incoming: DataFrame, ts_col: str = "load_t
     one shuffle join of the whole table is used.
     """
     touched = incoming.select("batch_id").distinct()
-    limit = BROADCAST_ROW_LIMIT
-    if touched.limit(limit + 1).count() <= limit:
+    if fits_broadcast(touched):
         ids = F.broadcast(touched)
         stored = result.join(ids, "batch_id", "left_semi")
         untouched = conform(result.join(ids, "batch_id", "left_anti"), "result")

@@ -95,6 +95,9 @@ KEYS: dict[str, TableKeys] = {
     ),
 }
 
+# Tables whose size grows with the submitted data (never broadcast blindly).
+GROWING_TABLES = {"batch", "result", "rejected_records"}
+
 MODEL_TABLES = ["manufacturer", "process", "unit_operation", "parameter", "batch", "result"]
 
 

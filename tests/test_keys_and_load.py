@@ -155,3 +155,22 @@ def test_keys_with_adaptive_partitions(spark):
     got = assign_keys(df.repartition(11), ["a", "b"], "id", start_after=5)
     ids = {(r.a, r.b): r.id for r in got.collect()}
     assert [ids[k] for k in sorted(ids)] == list(range(6, 306))
+
+
+def test_load_without_broadcast_matches(spark):
+    # Beyond the broadcast bound every join falls back to a shuffle join;
+    # the result must not change.
+    m = model(spark)
+    rows = [("B1", "Maker A", "8/1/2026", "P1", "U1", "Flow", "6"),
+            ("B4", "Maker B", "7/7/2026", "P1", "U2", "Mix", "3")]
+    v = validate_uploads(upload(spark, rows), m, persist=False)
+    fast = sorted((r.batch_id, r.parameter_id, r.value) for r in recurring_load(v.valid, m).model["result"].collect())
+    spark.conf.set("lotgate.broadcast.maxRows", "0")
+    try:
+        v2 = validate_uploads(upload(spark, rows), m, persist=False)
+        slow = sorted((r.batch_id, r.parameter_id, r.value) for r in recurring_load(v2.valid, m).model["result"].collect())
+        stages = sorted(r.rejection_stage or "" for r in v2.staged.collect())
+    finally:
+        spark.conf.unset("lotgate.broadcast.maxRows")
+    assert fast == slow
+    assert stages == ["", ""]
