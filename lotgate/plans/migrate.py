@@ -12,6 +12,7 @@ with conflicting batch metadata fails as it would in a transactional store.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,17 @@ ENTITY_SETS = {
 }
 
 
+def _run_level(steps) -> None:
+    """Run independent steps as concurrent Spark jobs (the scheduler accepts
+    jobs from several driver threads); errors surface in the caller."""
+    if len(steps) == 1:
+        steps[0]()
+        return
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for fut in [pool.submit(fn) for fn in steps]:
+            fut.result()
+
+
 def _grouping_id(group: tuple[str, ...]) -> int:
     """Spark's grouping id: one bit per column, set when it is aggregated away,
     the first column being the most significant bit."""
@@ -86,24 +98,41 @@ def migrate_history(history: DataFrame, model: dict[str, DataFrame] | None = Non
         return entities.filter(F.col("_gid") == _grouping_id(ENTITY_SETS[name])) \
             .select(*ENTITY_SETS[name])
 
-    step("manufacturer", entity("manufacturer").select(F.col("Manufacturer").alias("name")))
-    step("process", entity("process").select(F.col("Process").alias("process_name")))
-
-    uo = entity("unit_operation")
-    pid = model["process"].select(F.col("process_name").alias("_pn"), "process_id")
-    step("unit_operation", uo.join(bounded_broadcast(pid), uo["Process"] == pid["_pn"])
-         .select("process_id", F.col("Unit Operation").alias("unit_operation_name")))
-
-    step("parameter", lookup_unit_operation(entity("parameter"), model["process"], model["unit_operation"])
-         .select("unit_operation_id", F.col("Parameter").alias("parameter_name")))
-
-    step("batch", lookup_manufacturer(entity("batch"), model["manufacturer"]).select(
-        F.col("Batch Name").alias("batch_name"), parse_dom(F.col("DoM")).alias("dom"),
-        "manufacturer_id"))
-
-    hier = hierarchy_dim(model["process"], model["unit_operation"], model["parameter"])
-    step("result", resolve_keys(src, model["batch"], hier).select(
-        "batch_id", "parameter_id", F.col("Value").alias("value")))
+    def manufacturers() -> None:
+        step("manufacturer", entity("manufacturer").select(F.col("Manufacturer").alias("name")))
+
+    def processes() -> None:
+        step("process", entity("process").select(F.col("Process").alias("process_name")))
+
+    def unit_operations() -> None:
+        uo = entity("unit_operation")
+        pid = model["process"].select(F.col("process_name").alias("_pn"), "process_id")
+        step("unit_operation", uo.join(bounded_broadcast(pid), uo["Process"] == pid["_pn"])
+             .select("process_id", F.col("Unit Operation").alias("unit_operation_name")))
+
+    def parameters() -> None:
+        step("parameter", lookup_unit_operation(entity("parameter"), model["process"],
+                                                model["unit_operation"])
+             .select("unit_operation_id", F.col("Parameter").alias("parameter_name")))
+
+    def batches() -> None:
+        step("batch", lookup_manufacturer(entity("batch"), model["manufacturer"]).select(
+            F.col("Batch Name").alias("batch_name"), parse_dom(F.col("DoM")).alias("dom"),
+            "manufacturer_id"))
+
+    def results() -> None:
+        hier = hierarchy_dim(model["process"], model["unit_operation"], model["parameter"])
+        step("result", resolve_keys(src, model["batch"], hier).select(
+            "batch_id", "parameter_id", F.col("Value").alias("value")))
+
+    def hierarchy() -> None:
+        unit_operations()
+        parameters()
+
+    # Parents before children; the steps of one level are independent and
+    # are submitted as concurrent Spark jobs.
+    for level in ([manufacturers, processes], [hierarchy, batches], [results]):
+        _run_level(level)
 
     if check:
         # Dimension keys are unique by construction (distinct names joined to
