@@ -26,7 +26,7 @@ from lotgate.plans.load import recurring_load  # noqa: E402
 from lotgate.plans.migrate import migrate_history  # noqa: E402
 from lotgate.plans.validate import validate_uploads  # noqa: E402
 from lotgate.schemas import MODEL_TABLES, empty_table  # noqa: E402
-from lotgate.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
+from lotgate.session import ensure_checkpoint_dir, materialize, scratch_path  # noqa: E402
 
 
 def session(cpus: str) -> SparkSession:
@@ -67,7 +67,7 @@ def one_round(spark: SparkSession, hist_path: str, upload_path: str) -> dict[str
     def migrate():
         mig = migrate_history(hist, run_ts=fx.ts(fx.MIGRATION_TS))
         # Force every next-state table to exist (as a publish would).
-        model = {k: mig.model[k].checkpoint(eager=True) for k in MODEL_TABLES}
+        model = {k: materialize(mig.model[k], k) for k in MODEL_TABLES}
         return model
     model, times["history_migration"] = timed(migrate)
 
@@ -83,11 +83,11 @@ def one_round(spark: SparkSession, hist_path: str, upload_path: str) -> dict[str
         return a.next_state.count()
     _, times["rejection_audit"] = timed(audit)
 
-    clean = fx.clean(val.valid).checkpoint(eager=True)
+    clean = materialize(fx.clean(val.valid), "clean")
 
     def load():
         ld = recurring_load(clean, model)
-        nxt = {k: ld.model[k].checkpoint(eager=True) for k in ("batch", "result")}
+        nxt = {k: materialize(ld.model[k], k) for k in ("batch", "result")}
         ld.classified.groupBy("action").count().collect()
         return ld, nxt
     (ld, nxt), times["recurring_load"] = timed(load)

@@ -6,8 +6,8 @@ driver:
 1. range-partition the new keys and sort inside each partition, so partition
    ``i`` holds only keys below those of partition ``i + 1``;
 2. tag every row with its partition and its position in the partition, and
-   write the tagged rows to the reliable checkpoint folder, so a lost executor
-   cannot renumber them;
+   write the tagged rows as Parquet to the shared checkpoint folder, so a
+   lost executor cannot renumber them;
 3. count rows per partition (one small row per partition reaches the driver),
    turn the counts into starting offsets, and add them as a literal array.
 
@@ -23,7 +23,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotgate.session import ensure_checkpoint_dir
+from lotgate.session import ensure_checkpoint_dir, materialize
 
 _PART = "_k1_part"
 _POS = "_k1_pos"
@@ -47,8 +47,8 @@ def assign_keys(
 
     ``start`` is *start_after*, or the largest *id_col* in *after_max_of*
     when given (read in the same job as the partition sizes).  *rows* must be
-    unique on *key_cols* (callers de-duplicate first).  The result is
-    checkpointed, so it is evaluated once and stays fixed.
+    unique on *key_cols* (callers de-duplicate first).  The tagged rows are
+    written once to the shared checkpoint folder, so the ids stay fixed.
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
@@ -57,12 +57,12 @@ def assign_keys(
     # it only merges neighbouring ranges, so partition order stays key order.
     ranged = (rows.repartitionByRange(num_partitions, *ordered) if num_partitions
               else rows.repartitionByRange(*ordered))
-    tagged = (
+    tagged = materialize(
         ranged
         .sortWithinPartitions(*ordered)
         .withColumn(_PART, F.spark_partition_id())
-        .withColumn(_POS, F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn(_POS, F.monotonically_increasing_id()),
+        "keys",
     )
     stats = tagged.groupBy(_PART).agg(
         F.count(F.lit(1)).alias("n"), F.min(_POS).alias("p0"))

@@ -32,6 +32,7 @@ from lotgate.functions.text import is_blank, trim_spaces
 from lotgate.operators.lookups import (
     bounded_broadcast_all, fits_broadcast, hierarchy_dim, restrict_to_keys, unit_operation_dim,
 )
+from lotgate.session import materialize
 
 # The stage labels, in rule order; rules 3 and 4 share a label.
 STAGE_LABELS = [
@@ -98,7 +99,7 @@ def label_rows(staging: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     surv = s.filter(~is_blank(F.col("Batch Name")) & F.col("_dom").isNotNull())
     # One row per surviving batch name, partially aggregated before its
     # shuffle and kept in the checkpoint folder (the rows are read once more).
-    conflicts = upload_conflicts(surv).checkpoint(eager=True)
+    conflicts = materialize(upload_conflicts(surv), "conflicts")
     small = fits_broadcast(conflicts)
     batch = model["batch"]
     if small:

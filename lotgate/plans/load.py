@@ -18,6 +18,7 @@ from lotgate.functions.dates import parse_dom
 from lotgate.operators.constraints import DuplicateResultsError, check_inserted, duplicate_results, has_rows
 from lotgate.operators.lookups import bounded_broadcast, hierarchy_dim, lookup_manufacturer, resolve_keys
 from lotgate.operators.upsert import insert_if_absent, upsert_results
+from lotgate.session import materialize
 
 
 @dataclass
@@ -92,11 +93,10 @@ def recurring_load(valid: DataFrame, model: dict[str, DataFrame], check: bool =
 
     # Resolved once: the touched-batch split, the classification and the
     # insert all read it, and it carries the only shuffle of the submissions.
-    hier = hierarchy_dim(model["process"], model["unit_operation"], model["parameter"]) \
-        .checkpoint(eager=True)
-    incoming = resolve_keys(valid, model["batch"], hier).select(
-        "batch_id", "parameter_id", F.col("Value").alias("value"), "load_timestamp"
-    ).checkpoint(eager=True)
+    hier = materialize(
+        hierarchy_dim(model["process"], model["unit_operation"], model["parameter"]), "hierarchy")
+    incoming = materialize(resolve_keys(valid, model["batch"], hier).select(
+        "batch_id", "parameter_id", F.col("Value").alias("value"), "load_timestamp"), "incoming")
     up = upsert_results(model["result"], incoming)
     model["result"] = up.next_state
 

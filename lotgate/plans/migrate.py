@@ -25,6 +25,7 @@ from lotgate.operators.constraints import check_inserted
 from lotgate.operators.lookups import bounded_broadcast, hierarchy_dim, lookup_manufacturer, lookup_unit_operation, resolve_keys
 from lotgate.operators.upsert import insert_if_absent
 from lotgate.schemas import MODEL_TABLES, empty_model
+from lotgate.session import materialize
 
 KEY_NAMES = ["Batch Name", "Manufacturer", "Process", "Unit Operation", "Parameter"]
 
@@ -92,7 +93,8 @@ def migrate_history(history: DataFrame, model: dict[str, DataFrame] | None = Non
     # checkpoint folder because each dimension step reads it.
     entities = src.groupingSets(
         [list(g) for g in ENTITY_SETS.values()], *ENTITY_COLS
-    ).agg(F.grouping_id().alias("_gid")).checkpoint(eager=True)
+    ).agg(F.grouping_id().alias("_gid"))
+    entities = materialize(entities, "entities")
 
     def entity(name: str) -> DataFrame:
         return entities.filter(F.col("_gid") == _grouping_id(ENTITY_SETS[name])) \

@@ -16,6 +16,7 @@ from lotgate.functions.numbers import canonical_value
 from lotgate.operators.audit import audit_rejections, rejections_by_stage, validation_counts
 from lotgate.operators.rules import label_rows
 from lotgate.schemas import empty_table
+from lotgate.session import materialize
 
 
 def stage_raw(submissions: DataFrame, load_ts: Column) -> DataFrame:
@@ -53,7 +54,7 @@ def validate_uploads(submissions: DataFrame, model: dict[str, DataFrame],
     ts = run_ts if run_ts is not None else F.current_timestamp()
     staged = label_rows(stage_raw(submissions, ts), model)
     if persist:
-        staged = staged.checkpoint(eager=True)
+        staged = materialize(staged, "staged")
     audit_table = model.get("rejected_records")
     if audit_table is None:
         audit_table = empty_table(spark, "rejected_records")

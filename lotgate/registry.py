@@ -35,7 +35,7 @@ from lotgate.plans.migrate import migrate_history, migration_summary
 from lotgate.plans.publish import ModelStore
 from lotgate.plans.validate import stage_raw, validate_uploads
 from lotgate.schemas import REQUIRED_COLUMNS
-from lotgate.session import ensure_checkpoint_dir, scratch_path
+from lotgate.session import ensure_checkpoint_dir, materialize, scratch_path
 from lotgate.sources.uploads import read_history, read_uploads
 from lotgate.streaming.intake import start_intake
 
@@ -110,7 +110,7 @@ class State:
 
     @property
     def clean(self) -> DataFrame:
-        return self._get("clean", lambda: fx.clean(self.valid).checkpoint(eager=True))
+        return self._get("clean", lambda: materialize(fx.clean(self.valid), "clean"))
 
     @property
     def load(self):
@@ -628,7 +628,7 @@ def _reject_audit(st: State) -> DataFrame:
     ts = fx.ts(fx.VALIDATION_TS)
     first = validate_uploads(doubled, st.model, run_ts=ts)
     # A second run over the same input must add nothing.
-    again = audit_rejections(first.staged, first.audit.checkpoint(eager=True), ts)
+    again = audit_rejections(first.staged, materialize(first.audit, "audit"), ts)
     return again.next_state.select("rejected_id", "rejection_stage", "source_file", "rejection_hash")
 
 

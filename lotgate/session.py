@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -58,3 +58,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for handoff tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "lotgate", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write *df* as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts lineage like ``checkpoint()`` and survives lost executors, and
+    the result is a columnar table: later reads prune columns, push filters
+    down and carry file-size statistics, so the planner's own size check can
+    broadcast small tables.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
