@@ -101,6 +101,28 @@ def one_round(spark: SparkSession, hist_path: str, upload_path: str) -> dict[str
     return times
 
 
+def gate_exchanges(spark: SparkSession, hist_path: str, upload_path: str) -> dict[str, int]:
+    """Shuffles in the rule gate's physical plan: all, and those that
+    partition the submission rows by batch name (the design target is 0)."""
+    import contextlib
+    import io
+
+    from lotgate.operators.rules import label_rows
+    from lotgate.plans.validate import stage_raw
+
+    model = migrate_history(spark.read.parquet(hist_path)).model
+    staged = label_rows(stage_raw(spark.read.parquet(upload_path), fx.ts(fx.VALIDATION_TS)), model)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        staged.explain()
+    plan = buf.getvalue()
+    import re
+
+    return {"gate_shuffles": len(re.findall(r"(?<!Broadcast)Exchange ", plan)),
+            "gate_broadcasts": plan.count("BroadcastExchange "),
+            "gate_row_shuffles": plan.count("hashpartitioning(Batch Name")}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -117,6 +139,7 @@ def main() -> None:
     runs = [one_round(spark, hist_path, upload_path) for _ in range(rounds)]
     queries = {k: round(statistics.median(r[k] for r in runs), 3) for k in runs[0]}
     total = round(sum(queries.values()), 3)
+    shuffles = gate_exchanges(spark, hist_path, upload_path)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "intake_total_median_sec",
@@ -126,6 +149,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
         "rounds": rounds,
+        **shuffles,
     }))
 
 
