@@ -174,3 +174,43 @@ def test_load_without_broadcast_matches(spark):
         spark.conf.unset("lotgate.broadcast.maxRows")
     assert fast == slow
     assert stages == ["", ""]
+
+
+def test_hot_batch_on_shuffle_path_with_skew_splits(spark):
+    # One batch holds a third of the upload.  With the broadcast bound at 0
+    # every join is a shuffle join; AQE thresholds are lowered so the hot
+    # partition is split.  Labels and loaded results must not change.
+    m = model(spark)
+    hot = [("B1", "Maker A", "8/1/2026", "P1", "U1", "Temp" if i % 2 else "Flow", str(i)) for i in range(60)]
+    cold = [(f"C{i}", "Maker B", "9/9/2026", "P1", "U2", "Mix", "1") for i in range(120)]
+    rows = hot + cold
+
+    def run():
+        up = upload(spark, rows).repartition(6)
+        v = validate_uploads(up, m, persist=False)
+        labels = sorted((r["Batch Name"], r["Value"], r.rejection_stage or "") for r in v.staged.collect())
+        return labels, v
+
+    fast, _ = run()
+    conf = {"lotgate.broadcast.maxRows": "0",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        slow, v = run()
+        # B1's rows disagree on Value only, so they pass; duplicates stop the load.
+        with pytest.raises(DuplicateResultsError):
+            recurring_load(v.valid, m)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert fast == slow
+    assert sum(1 for b, _, s in slow if b == "B1" and s == "") == 60
