@@ -40,8 +40,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if none is set."""
     try:
         sc = spark.sparkContext
-    except Exception:  # a client session: the server owns the folder
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    except Exception:  # a client session: the cluster must name a shared folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
