@@ -40,14 +40,30 @@ def new_batch_rows(valid: DataFrame, manufacturer: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def load_summary(model: dict[str, DataFrame]) -> DataFrame:
-    """Totals of batch and result after the load (L-2, A-1)."""
-    b = model["batch"].agg(F.count(F.lit(1)).alias("total_batches")) \
-        .withColumn("total_results", F.lit(None).cast("long"))
-    r = model["result"].agg(F.count(F.lit(1)).alias("total_results")) \
-        .withColumn("total_batches", F.lit(None).cast("long"))
-    return b.unionByName(r).agg(F.max("total_batches").alias("total_batches"),
-                                F.max("total_results").alias("total_results"))
+def load_summary(model: dict[str, DataFrame], before: dict[str, DataFrame] | None = None,
+                 inserted: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Totals of batch and result after the load (L-2, A-1).
+
+    Given the stored tables and the inserted rows, a total is the stored count
+    plus the inserted count (updates never change a count): a bare count of a
+    stored Parquet table reads only row-group metadata, and the inserted rows
+    are few, so the large next state is never scanned for it.
+    """
+    if before is not None and inserted is not None:
+        sources = {"batch": [before["batch"], inserted["batch"]],
+                   "result": [before["result"], inserted["result"]]}
+    else:
+        sources = {"batch": [model["batch"]], "result": [model["result"]]}
+    parts = []
+    for name, frames in sources.items():
+        mine, other = ("total_batches", "total_results") if name == "batch" else ("total_results", "total_batches")
+        for df in frames:
+            parts.append(df.agg(F.count(F.lit(1)).alias(mine)).withColumn(other, F.lit(0).cast("long")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.agg(F.sum("total_batches").alias("total_batches"),
+                   F.sum("total_results").alias("total_results"))
 
 
 def review_loaded(model: dict[str, DataFrame], valid: DataFrame,
@@ -85,6 +101,7 @@ def recurring_load(valid: DataFrame, model: dict[str, DataFrame], check: bool =
     if has_rows(dups):
         raise DuplicateResultsError(
             "Duplicate Batch/Parameter combinations in the valid staging rows; load stopped.", dups)
+    before = dict(model)
     model = dict(model)
 
     fresh = new_batch_rows(valid, model["manufacturer"])
@@ -106,6 +123,6 @@ def recurring_load(valid: DataFrame, model: dict[str, DataFrame], check: bool =
         model=model,
         new_batches=batches.inserted,
         classified=up.classified,
-        summary=load_summary(model),
+        summary=load_summary(model, before, {"batch": batches.inserted, "result": up.inserted}),
         review=review_loaded(model, valid, hier),
     )

@@ -26,7 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         # Checkpoint files of frames no longer referenced are removed.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        # max(id) before key assignment is answered from Parquet footers.
+        # With the V2 Parquet reader, max(id) and counts come from footers.
         .config("spark.sql.parquet.aggregatePushdown", "true")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
