@@ -25,7 +25,7 @@ from lotgate.operators.constraints import check_inserted
 from lotgate.operators.lookups import bounded_broadcast, hierarchy_dim, lookup_manufacturer, lookup_unit_operation, resolve_keys
 from lotgate.operators.upsert import insert_if_absent
 from lotgate.schemas import MODEL_TABLES, empty_model
-from lotgate.session import materialize
+from lotgate.session import materialize, run_timestamp
 
 KEY_NAMES = ["Batch Name", "Manufacturer", "Process", "Unit Operation", "Parameter"]
 
@@ -71,7 +71,7 @@ def migrate_history(history: DataFrame, model: dict[str, DataFrame] | None = Non
                     run_ts: Column | None = None, check: bool = True) -> Migration:
     spark = history.sparkSession
     model = dict(model) if model is not None else empty_model(spark)
-    ts = run_ts if run_ts is not None else F.current_timestamp()
+    ts = run_ts if run_ts is not None else run_timestamp(spark)
 
     src = history.withColumn("DoM", strip_whitespace(F.col("DoM"))) \
                  .withColumn("Value", canonical_value(F.col("Value")))

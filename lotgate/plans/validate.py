@@ -16,7 +16,7 @@ from lotgate.functions.numbers import canonical_value
 from lotgate.operators.audit import audit_rejections, rejections_by_stage, validation_counts
 from lotgate.operators.rules import label_rows
 from lotgate.schemas import empty_table
-from lotgate.session import materialize
+from lotgate.session import materialize, run_timestamp
 
 
 def stage_raw(submissions: DataFrame, load_ts: Column) -> DataFrame:
@@ -51,7 +51,7 @@ def validate_uploads(submissions: DataFrame, model: dict[str, DataFrame],
     ``model`` may hold ``rejected_records``; when absent the audit starts empty.
     """
     spark = submissions.sparkSession
-    ts = run_ts if run_ts is not None else F.current_timestamp()
+    ts = run_ts if run_ts is not None else run_timestamp(spark)
     staged = label_rows(stage_raw(submissions, ts), model)
     if persist:
         staged = materialize(staged, "staged")

@@ -10,7 +10,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -74,3 +75,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_timestamp(spark: SparkSession) -> Column:
+    """The job's timestamp, read once and returned as a literal (F-9).
+
+    A bare ``current_timestamp()`` would be re-evaluated each time a lazy
+    next state is read; the source system stamps a whole transaction with one
+    time, so the value is fixed here, in the session time zone.
+    """
+    text = spark.range(1).select(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).first()["t"]
+    return F.to_timestamp(F.lit(text), "yyyy-MM-dd HH:mm:ss.SSSSSS")

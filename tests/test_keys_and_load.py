@@ -214,3 +214,39 @@ def test_hot_batch_on_shuffle_path_with_skew_splits(spark):
                 spark.conf.set(k, v)
     assert fast == slow
     assert sum(1 for b, _, s in slow if b == "B1" and s == "") == 60
+
+
+def test_timestamps_follow_validation_and_updates_touch_value_only(spark):
+    # D24: new rows take the validation time; D25: an update changes only
+    # value and modified_at (created_at and the id stay).
+    m = model(spark)
+    before = {(r.batch_id, r.parameter_id): r for r in m["result"].collect()}
+    rows = [("B1", "Maker A", "8/1/2026", "P1", "U1", "Flow", "6"),
+            ("B5", "Maker B", "5/5/2026", "P1", "U2", "Mix", "2")]
+    ts = F.to_timestamp(F.lit("2030-01-02 03:04:05"))
+    v = validate_uploads(upload(spark, rows), m, run_ts=ts)
+    ld = recurring_load(v.valid, m)
+    after = {(r.batch_id, r.parameter_id): r for r in ld.model["result"].collect()}
+    stamp = "2030-01-02 03:04:05"
+    changed = [k for k in before if after[k].value != before[k].value]
+    assert len(changed) == 1
+    k = changed[0]
+    assert after[k].result_id == before[k].result_id
+    assert after[k].created_at == before[k].created_at
+    assert str(after[k].modified_at) == stamp
+    new = [r for key, r in after.items() if key not in before]
+    assert len(new) == 1 and str(new[0].created_at) == stamp == str(new[0].modified_at)
+    b5 = ld.model["batch"].filter("batch_name = 'B5'").first()
+    assert str(b5.created_at) == stamp
+
+
+def test_all_digit_names_and_blank_columns_do_not_abort(spark):
+    # D27: text is read as text, so numeric-looking names are ordinary names.
+    hist = [("1001", "7", "1/1/2026", "10", "20", "30", "1")]
+    m = migrate_history(frame(spark, hist)).model
+    rows = [("1001", "7", "1/1/2026", "10", "20", "30", "2"),
+            ("1002", "7", "1/1/2026", "10", "20", "30", None)]
+    v = validate_uploads(upload(spark, rows), m)
+    assert [r.rejection_stage for r in v.staged.orderBy("Batch Name").collect()] == [None, None]
+    ld = recurring_load(v.valid, m)
+    assert sorted(r.action for r in ld.classified.collect()) == ["new", "updated"]
