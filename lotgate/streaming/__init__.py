@@ -1 +1 @@
-"""streaming"""
+"""The recurring upload folder as a Structured Streaming file source."""
