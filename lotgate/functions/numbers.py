@@ -39,6 +39,20 @@ def double_text(d: Column) -> Column:
     # double (1.5e-05, 1e+16); the JVM's own text can carry a 17th digit.
     candidates = [F.format_string(f"%.{p}e", d) for p in range(17)]
     sci = F.coalesce(*[F.when(c.try_cast("double") == d, c) for c in candidates])
+    # From 1e16 to below 2**63 a double is an exact integer: round that
+    # integer (exact decimal arithmetic) to ever more digits and keep the
+    # first that reads back as the same double, so ties in a 17th digit go
+    # to the nearest neighbour as in the source system.
+    whole = absd.cast("long").cast("decimal(20,0)")
+    rounded = [F.round(whole, -k).cast("decimal(20,0)") for k in range(18, -1, -1)]
+    shortest = F.coalesce(*[F.when(r.cast("double") == absd, r) for r in rounded]).cast("string")
+    digits = F.regexp_replace(shortest, "0+$", "")
+    big_sci = F.concat(
+        F.when(d < 0, F.lit("-")).otherwise(F.lit("")),
+        F.regexp_replace(F.regexp_replace(digits, "^(.)", "$1."), r"\.$", ""),
+        F.lit("e+"),
+        F.lpad((F.length(shortest) - 1).cast("string"), 2, "0"),
+    )
     return (
         F.when(d.isNull(), F.lit(None).cast("string"))
         .when(F.isnan(d), F.lit("nan"))
@@ -48,6 +62,7 @@ def double_text(d: Column) -> Column:
         # The JVM already writes plain shortest digits in [1e-3, 1e7).
         .when((absd >= F.lit(1e-3)) & (absd < F.lit(1e7)), raw)
         .when((absd >= F.lit(1e-4)) & (absd < F.lit(1e16)), plain)
+        .when((absd >= F.lit(1e16)) & (absd < F.lit(9.2e18)), big_sci)
         .otherwise(sci)
     )
 
