@@ -54,6 +54,10 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return table[:n]
 
 
+def undo_powers(n: int) -> np.ndarray:
+    return _power_table(_BASE_INVERSE, n)
+
+
 class Block:
     """Texts joined by newlines. ``doc_start``/``doc_end`` bound each text."""
 
@@ -76,7 +80,7 @@ class Block:
 
     def slice_hashes(self, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
         prefix = self.prefix(lower)
-        undo = _power_table(_BASE_INVERSE, len(prefix))
+        undo = undo_powers(len(prefix))
         return mix((prefix[end] - prefix[start]) * undo[start])
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -5,8 +5,10 @@ has the DuckDB SQL of those that SQL can express."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .parity_join import near_duplicates
+from .suffix_dedup import remove_repeats
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +20,17 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir), n=5, percent=80)
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every document without its repeated 100-byte strings."""
+    cut = remove_repeats(_documents(spark, sf_dir).select("doc_id", "text"), length=100)
+    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return cut.select("row.doc_id", "n_bytes", lost.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLE: dict[str, str] = {}
