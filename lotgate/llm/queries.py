@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import mixing, risk_rules
 from .parity_join import near_duplicates
 from .suffix_dedup import remove_repeats
 
@@ -15,11 +16,21 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and risk-controlled verdict of every document."""
+    return risk_rules.judge(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document (five words, 0.8)."""
     return near_duplicates(_documents(spark, sf_dir), n=5, percent=80)
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the capped mix takes."""
+    return mixing.mix(_documents(spark, sf_dir)).drop("source")
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of every document without its repeated 100-byte strings."""
     cut = remove_repeats(_documents(spark, sf_dir).select("doc_id", "text"), length=100)
@@ -29,8 +40,13 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_source_mixing": op6_source_mixing,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_quality_rules": risk_rules.oracle_sql(),
+    "op6_source_mixing": mixing.oracle_sql(),
+}
