@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, risk_rules
+from . import lattice_lm, mixing, packing, risk_rules
 from .parity_join import near_duplicates
 from .suffix_dedup import remove_repeats
 
@@ -16,11 +16,28 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, and a word baseline."""
+    return lattice_lm.score(_documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and risk-controlled verdict of every document."""
     return risk_rules.judge(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op4_differencing_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in windows of 2048 tokens."""
+    return packing.pack(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), window=2048, end_id=1)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document (five words, 0.8)."""
     return near_duplicates(_documents(spark, sf_dir), n=5, percent=80)
@@ -40,7 +57,9 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_subword_lattice": op2_subword_lattice,
     "op3_quality_rules": op3_quality_rules,
+    "op4_differencing_pack": op4_differencing_pack,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_source_mixing": op6_source_mixing,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
