@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import lattice_lm, mixing, packing, risk_rules
+from .cross_polytope import near_vectors
 from .parity_join import near_duplicates
 from .suffix_dedup import remove_repeats
 
@@ -48,6 +49,11 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).drop("source")
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector (cosine 0.93, equal labels)."""
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.93)
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of every document without its repeated 100-byte strings."""
     cut = remove_repeats(_documents(spark, sf_dir).select("doc_id", "text"), length=100)
@@ -62,6 +68,7 @@ QUERIES = {
     "op4_differencing_pack": op4_differencing_pack,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_source_mixing": op6_source_mixing,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
