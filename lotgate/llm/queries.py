@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lattice_lm, mixing, packing, risk_rules
+from . import importance, lattice_lm, licenses, mixing, ordinal_toxicity, packing, risk_rules
 from .cross_polytope import near_vectors
 from .parity_join import near_duplicates
 from .suffix_dedup import remove_repeats
@@ -17,6 +17,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def _tokenizer(name: str) -> str:
     """Place of a public tokenizer's file."""
     import public_tokenizers
@@ -24,6 +28,11 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected toxicity severity of every document."""
+    return ordinal_toxicity.severity(_documents(spark, sf_dir), _labels(spark, sf_dir).select("doc_id", "toxic"))
+
+
 def op2_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document, and a word baseline."""
     return lattice_lm.score(_documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
@@ -31,7 +40,7 @@ def op2_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and risk-controlled verdict of every document."""
-    return risk_rules.judge(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return risk_rules.judge(_documents(spark, sf_dir), _labels(spark, sf_dir))
 
 
 def op4_differencing_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +58,16 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).drop("source")
 
 
+def op7_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences that documents, or lines of them, are."""
+    return licenses.scan(_documents(spark, sf_dir))
+
+
+def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log importance of every document and whether the sample keeps it."""
+    return importance.resample(_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector (cosine 0.93, equal labels)."""
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.93)
@@ -63,11 +82,14 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ordinal_toxicity": op1_ordinal_toxicity,
     "op2_subword_lattice": op2_subword_lattice,
     "op3_quality_rules": op3_quality_rules,
     "op4_differencing_pack": op4_differencing_pack,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_source_mixing": op6_source_mixing,
+    "op7_licence_digests": op7_licence_digests,
+    "op8_importance_resampling": op8_importance_resampling,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
@@ -75,4 +97,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op3_quality_rules": risk_rules.oracle_sql(),
     "op6_source_mixing": mixing.oracle_sql(),
+    "op7_licence_digests": licenses.oracle_sql(),
 }
