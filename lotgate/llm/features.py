@@ -8,20 +8,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .blocks import Block, column, ngram_hashes
+from .blocks import Block, column, mix, ngram_hashes
 
 #: ASCII marks end a word like white space does; letters of any script stay.
 _MARKS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 SLICES = 16
 
 
-def hashed_grams(texts: list[bytes], buckets: int, orders: tuple[int, ...], plain: bool = True):
-    """(text, bucket) of each n-gram occurrence of the given orders. With
-    *plain*, words are runs of ASCII alphanumerics and non-ASCII characters,
-    ASCII lower-cased; else runs between white space as they are."""
+def hashed_grams(texts: list[bytes], buckets: int, orders: tuple[int, ...], plain: bool = True, stems: tuple[int, ...] = ()):
+    """(text, bucket) of each n-gram occurrence of the given orders, and of the
+    first bytes of longer words for each length in *stems*. With *plain*, words
+    are runs of ASCII alphanumerics and non-ASCII characters, ASCII
+    lower-cased; else runs between white space as they are."""
     block = Block([t.translate(_MARKS) for t in texts] if plain else texts)
     words = block.word_hashes(lower=plain)
-    _, _, first = block.words()
+    start, end, first = block.words()
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
     last = first[1:][doc]
     docs, found = [], []
@@ -29,6 +30,11 @@ def hashed_grams(texts: list[bytes], buckets: int, orders: tuple[int, ...], plai
         inside = np.arange(len(words)) + n <= last
         docs.append(doc[inside])
         found.append((ngram_hashes(words, n)[inside] >> np.uint64(20)) % np.uint64(buckets))
+    for length in stems:
+        longer = end - start > length
+        stem = block.slice_hashes(start[longer], start[longer] + length, plain)
+        docs.append(doc[longer])
+        found.append((mix(stem + np.uint64(length)) >> np.uint64(20)) % np.uint64(buckets))
     return np.concatenate(docs), np.concatenate(found).astype(np.int64)
 
 

@@ -98,16 +98,18 @@ def repeat(docs: DataFrame, weights: list[float] = WEIGHTS, max_epochs: int = MA
     """The mix itself, in the columns of *docs*: a row for each whole repetition
     and one with the leading words for a part; ``n_chars`` follows the text."""
     plan = (mix(docs, weights, max_epochs, seed).where("taken > 0")
-            .groupBy("doc_id", "size").agg(F.max("taken").alias("taken")).withColumnRenamed("doc_id", "mix_id").withColumnRenamed("size", "mix_size"))
-    sized = docs.withColumn("mix_words", word_count(F.col("text")))
-    joined = sized.join(plan, (sized["doc_id"].eqNullSafe(plan["mix_id"])) & (F.col("mix_words") == F.col("mix_size")))
-    whole, part = F.floor(F.col("taken") / F.col("mix_size")).cast("int"), F.col("taken") % F.col("mix_size")
+            .groupBy(F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_size")).agg(F.max("taken").alias("mix_taken")))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("mix_row"), word_count(F.col("text")).alias("mix_words"))
+    joined = rows.join(plan, F.col("mix_row.doc_id").eqNullSafe(F.col("mix_id")) & (F.col("mix_words") == F.col("mix_size")))
+    whole, part = F.floor(F.col("mix_taken") / F.col("mix_size")).cast("int"), F.col("mix_taken") % F.col("mix_size")
     copies = F.concat(F.array_repeat(F.lit(0).cast("long"), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
-    lead = F.when(F.col("mix_copy") == 0, F.col("text")).otherwise(_leading_words(F.col("text"), F.col("mix_copy")))
-    out = joined.withColumn("mix_copy", F.explode(copies)).withColumn("text", lead)
+    text = F.col("mix_row.text")
+    out = joined.withColumn("mix_copy", F.explode(copies)).withColumn(
+        "mix_text", F.when(F.col("mix_copy") == 0, text).otherwise(_leading_words(text, F.col("mix_copy"))))
+    changed = {"text": F.col("mix_text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.length("mix_text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(changed.get(c, F.col(f"mix_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def _leading_words(text: Column, n: Column) -> Column:

@@ -1,6 +1,7 @@
 """Toxicity severity by cumulative-link ordinal regression.
 
-Grades are ordered, 0 (clean) to K. One weight vector over hashed words is
+Grades are ordered, 0 (clean) to K. One weight vector over hashed words and
+their stems is
 shared by all thresholds: ``P(grade > j) = sigmoid(w.x - t_j)`` with
 ``t_0 < t_1 < ...`` (kept ordered by ``t_j = t_0 + sum exp(g_i)``). A text's
 expected severity is the sum of these probabilities.
@@ -25,8 +26,10 @@ from .features import hashed_grams
 
 BUCKETS = 1 << 18
 SAMPLE = 8000
-MIN_DOCS = 5
-STEPS, RATE, PENALTY = 300, 0.1, 2e-3
+STEMS = (4, 6)  # first bytes of words, for inflected or joined forms
+MIN_DOCS = 10
+STEPS, RATE, PENALTY = 200, 0.1, 2e-4
+TOXIC = 0.3  # p_toxic from which a text is called toxic
 
 
 @dataclass
@@ -82,8 +85,8 @@ def fit(doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, grade: np.ndarra
 
 
 def _entries(texts: list[bytes], buckets: int):
-    """(document, bucket, log(1 + count)) of each distinct hashed word."""
-    doc, bucket = hashed_grams(texts, buckets, (1,))
+    """(document, bucket, log(1 + count)) of each distinct hashed word or stem."""
+    doc, bucket = hashed_grams(texts, buckets, (1,), stems=STEMS)
     pair, count = np.unique(doc * buckets + bucket, return_counts=True)
     return pair // buckets, pair % buckets, np.log1p(count)
 
@@ -109,7 +112,7 @@ def _score(model, buckets: int):
             p = -np.diff(np.concatenate([np.ones((len(above), 1)), above, np.zeros((len(above), 1))], 1), axis=1)
             yield pa.RecordBatch.from_arrays([
                 column(batch, "doc_id"), pa.array(above.sum(1)), pa.array(p.argmax(1).astype(np.int32)), pa.array(above[:, 0]),
-                pa.array(above[:, 0] >= 0.5)], ["doc_id", "severity", "grade", "p_toxic", "toxic"])
+                pa.array(above[:, 0] >= TOXIC)], ["doc_id", "severity", "grade", "p_toxic", "toxic"])
     return run
 
 

@@ -49,6 +49,7 @@ from .tables import discard, keep, partitions_for
 SKETCH_BITS = 512
 COUNT_CELLS = 1 << 20  # of the rarity sketch: 4 MB whatever the input
 COUNT_SLICES = 16
+BITMAP_BYTES = 1 << 21
 FLUSH = 1 << 21  # offers that a task holds before it hands them on
 GRID = 4096  # members of a bucket that one task compares
 _PARITY = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.uint16)
@@ -59,21 +60,48 @@ def _sketch(shingles: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
-def _profile(n: int):
-    """Per document: set size, two set hashes and the bit sketch."""
+def _profile(n: int, percent: int):
+    """Per document: set size, two set hashes and the bit sketch; at the end of
+    a task its cell counts, in slices."""
     def run(batches):
+        total, held, keys, seen = np.zeros(COUNT_CELLS, np.int64), 0, [], set()
+
+        def count():
+            return np.bincount((np.concatenate(keys) % np.uint64(COUNT_CELLS)).astype(np.int64), minlength=COUNT_CELLS)
         for batch, texts in text_blocks(batches):
             sets = shingle_sets(Block(texts), n)
-            one = [int(np.bitwise_xor.reduce(s)) if len(s) else 0 for s in sets]
-            two = [int(np.add.reduce(mix(s))) if len(s) else 0 for s in sets]
-            yield pa.RecordBatch.from_arrays([
-                column(batch, "doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(signed(mix(np.array(one, np.uint64)))), pa.array(signed(np.array(two, np.uint64))),
-                pa.array([_sketch(s) if len(s) else None for s in sets], pa.binary())],
-                ["doc_id", "n_shingles", "f1", "f2", "sketch"])
+            one, two = [_set_hash(s) for s in sets], [int(np.add.reduce(mix(s))) if len(s) else 0 for s in sets]
+            yield _profiled(column(batch, "doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                            pa.array(signed(np.array(one, np.uint64))), pa.array(signed(np.array(two, np.uint64))),
+                            pa.array([_sketch(s) if len(s) else None for s in sets], pa.binary()))
+            for _, _, cells, _ in _sketches(sets, one, seen, percent):
+                keys.append(cells)
+                held += len(cells)
+            if held > FLUSH:
+                total += count()
+                held, keys = 0, []
+        if keys:
+            total += count()
+        if total.any():
+            none = pa.nulls(COUNT_SLICES, pa.int64())
+            yield _profiled(none, none, none, none, pa.array([x.astype(np.int32).tobytes() for x in np.split(total, COUNT_SLICES)], pa.binary()),
+                            pa.array(range(COUNT_SLICES), pa.int32()))
     return run
 
 
+_PROFILE = "doc_id long, n_shingles long, f1 long, f2 long, sketch binary, slice int"
+
+
+def _profiled(*columns) -> pa.RecordBatch:
+    if len(columns) < 6:
+        columns += (pa.nulls(len(columns[0]), pa.int32()),)
+    return pa.RecordBatch.from_arrays(list(columns), [x.split()[0] for x in _PROFILE.split(", ")])
+
+
+def _set_hash(shingles: np.ndarray) -> int:
+    return int(mix(np.bitwise_xor.reduce(shingles)[None])[0]) if len(shingles) else 0
+
+
 def _cells(shingles: np.ndarray, band: int) -> np.ndarray:
     """Keys of the non-empty cells of the parity sketch in *band*."""
     m = max(16, 2 * 4 ** band)
@@ -85,48 +113,25 @@ def _cells(shingles: np.ndarray, band: int) -> np.ndarray:
     return mix(value + mix(cell[first] + np.uint64((band + 1) << 48)))
 
 
-def _sketches(batches, n: int, percent: int):
-    """(set hash, offers wanted, cells) of each distinct set of a task, in each
-    of its bands; copies that the task has seen are passed over."""
-    seen: set[int] = set()
-    for batch, texts in text_blocks(batches):
-        for s in shingle_sets(Block(texts), n):
-            size = len(s)
-            if not size:
-                continue
-            f1 = int(mix(np.bitwise_xor.reduce(s)[None])[0])
-            if (f1, size) in seen:
-                continue
-            seen.add((f1, size))
-            wanted = size * (100 - percent) // percent + 1
-            band = (size.bit_length() - 1) // 2
-            for b in (band, band + 1):
-                if b == band or 100 * size >= percent * 4 ** b:
-                    yield f1, wanted, _cells(s, b), b
-
-
-def _count(n: int, percent: int):
-    def run(batches):
-        total, held, keys = np.zeros(COUNT_CELLS, np.int64), 0, []
-        for _, _, cells, _ in _sketches(batches, n, percent):
-            keys.append(cells)
-            held += len(cells)
-            if held > FLUSH:
-                total += np.bincount((np.concatenate(keys) % np.uint64(COUNT_CELLS)).astype(np.int64), minlength=COUNT_CELLS)
-                held, keys = 0, []
-        if keys:
-            total += np.bincount((np.concatenate(keys) % np.uint64(COUNT_CELLS)).astype(np.int64), minlength=COUNT_CELLS)
-        if total.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(COUNT_SLICES), pa.int32()),
-                 pa.array([x.astype(np.int32).tobytes() for x in np.split(total, COUNT_SLICES)], pa.binary())], ["slice", "counts"])
-    return run
+def _sketches(sets, hashes, seen: set, percent: int):
+    """(set hash, offers wanted, cells, band) of each distinct set, in each of
+    its bands; copies that the task has *seen* are passed over."""
+    for s, f1 in zip(sets, hashes):
+        size = len(s)
+        if not size or (f1, size) in seen:
+            continue
+        seen.add((f1, size))
+        wanted = size * (100 - percent) // percent + 1
+        band = (size.bit_length() - 1) // 2
+        for b in (band, band + 1):
+            if b == band or 100 * size >= percent * 4 ** b:
+                yield f1, wanted, _cells(s, b), b
 
 
 def _sum_slices(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(COUNT_CELLS // COUNT_SLICES, np.int64)
     for batch in batches:
-        for x in column(batch, "counts").to_pylist():
+        for x in column(batch, "sketch").to_pylist():
             total += np.frombuffer(x, np.int32)
     yield pa.RecordBatch.from_arrays(
         [pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(total, (1 << 31) - 1).astype(np.int32).tobytes()])],
@@ -150,15 +155,18 @@ def _offers(n: int, percent: int, counts, parts: int):
                 pa.array([key[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
                 pa.array([owner[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], ["part", "keys", "sets"])
 
-        for f1, wanted, cells, band in _sketches(batches, n, percent):
-            if len(cells) > wanted:
-                seen = rarity[(cells % np.uint64(COUNT_CELLS)).astype(np.int64)]
-                cells = cells[np.lexsort((cells, seen))[:wanted]]
-            elif len(cells) < wanted:  # then empty cells belong to the first ones
-                cells = np.append(cells, mix(np.array([band + 1], np.uint64)))
-            keys.append(cells)
-            owners.append(np.full(len(cells), f1, np.uint64))
-            held += len(cells)
+        seen: set = set()
+        for _, texts in text_blocks(batches):
+            sets = shingle_sets(Block(texts), n)
+            for f1, wanted, cells, band in _sketches(sets, map(_set_hash, sets), seen, percent):
+                if len(cells) > wanted:
+                    count = rarity[(cells % np.uint64(COUNT_CELLS)).astype(np.int64)]
+                    cells = cells[np.lexsort((cells, count))[:wanted]]
+                elif len(cells) < wanted:  # then empty cells belong to the first ones
+                    cells = np.append(cells, mix(np.array([band + 1], np.uint64)))
+                keys.append(cells)
+                owners.append(np.full(len(cells), f1, np.uint64))
+                held += len(cells)
             if held > FLUSH:
                 yield flush()
                 keys, owners, held = [], [], 0
@@ -195,7 +203,7 @@ def _near(percent: int):
             x, y = (np.frombuffer(b"".join(column(batch, c).to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8) for c in ("s_a", "s_b"))
             apart = _PARITY[x ^ y].sum(1, dtype=np.int64)
             ok = _possible(na, nb, apart, percent)
-            yield pa.RecordBatch.from_arrays([column(batch, "a"), column(batch, "b")], ["a", "b"]).filter(pa.array(ok))
+            yield pa.RecordBatch.from_arrays([column(batch, "a"), column(batch, "b"), pa.array(apart)], ["a", "b", "apart"]).filter(pa.array(ok))
     return run
 
 
@@ -220,33 +228,102 @@ def _verify(n: int, percent: int):
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, str]:
     pairs, path = keep(pairs, "pairs")
     wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
-    texts, texts_path = keep(texts.join(wanted, "doc_id", "left_semi"), "pair_texts")
+    screened = texts.where("doc_id is not null").mapInArrow(_in_bitmap(bitmap_of(wanted)), "doc_id long, text binary")
+    texts, texts_path = keep(screened.hint("merge").join(wanted, "doc_id", "left_semi"), "pair_texts")
     links, links_path = keep(
-        pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs.hint("merge").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+        .hint("merge").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
         .mapInArrow(_verify(n, percent), "a long, b long"), "links")
     discard(pairs.sparkSession, path, texts_path)
     return links, links_path
 
 
+def _bit(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.view(np.uint64)) % np.uint64(8 * BITMAP_BYTES)).astype(np.int64)
+
+
+def _marks(batches):
+    bits = np.zeros(8 * BITMAP_BYTES, bool)
+    for batch in batches:
+        bits[_bit(batch.column(0).to_numpy())] = True
+    if bits.any():
+        data = np.packbits(bits)
+        yield pa.RecordBatch.from_arrays([pa.array(range(COUNT_SLICES), pa.int32()),
+                                          pa.array([x.tobytes() for x in np.split(data, COUNT_SLICES)], pa.binary())], ["slice", "sketch"])
+
+
+def _or_slices(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(BITMAP_BYTES // COUNT_SLICES, np.uint8)
+    for batch in batches:
+        for x in column(batch, "sketch").to_pylist():
+            total |= np.frombuffer(x, np.uint8)
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()])], ["slice", "counts"])
+
+
+def bitmap_of(ids: DataFrame):
+    """Broadcast bitmap of the hashed ids: of fixed size, so that rows whose id
+    is surely not among them need not be shuffled."""
+    rows = (ids.coalesce(max(1, ids.sparkSession.sparkContext.defaultParallelism)).mapInArrow(_marks, "slice int, sketch binary")
+            .groupBy("slice").applyInArrow(_or_slices, "slice int, counts binary").collect())
+    total = np.zeros((COUNT_SLICES, BITMAP_BYTES // COUNT_SLICES), np.uint8)
+    for row in rows:
+        total[row["slice"]] = np.frombuffer(row["counts"], np.uint8)
+    return ids.sparkSession.sparkContext.broadcast(total.reshape(-1))
+
+
+def _in_bitmap(bitmap):
+    def run(batches):
+        bits = bitmap.value
+        for batch in batches:
+            at = _bit(column(batch, "doc_id").to_numpy())
+            yield batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+    return run
+
+
 def _across(percent: int):
-    """All pairs of a bucket that lie in different components, screened."""
-    def run(table: pa.Table) -> pa.Table:
-        # A grid cell (i, j) holds the members of chunks i and j; i == j: one chunk.
-        chunk, i, j = (table[c].to_numpy() for c in ("chunk", "i", "j"))
-        node, comp, size = (table[c].to_numpy() for c in ("rep", "component", "n_shingles"))
+    """Of the buckets in a task: all pairs in different components, screened.
+
+    Rows come sorted by (key, i, j). A cell (i, j) of a bucket's grid holds the
+    members of its chunks i and j, at most two chunks of about GRID members.
+    """
+    def pairs(table: pa.Table) -> np.ndarray:
+        cell = np.stack([table[c].to_numpy() for c in ("key", "i", "j")], 1)
+        chunk, node, comp, size = (table[c].to_numpy() for c in ("chunk", "rep", "component", "n_shingles"))
         sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
-        left = np.flatnonzero(chunk == i[0])
-        right = np.flatnonzero(chunk == j[0])
-        out = []
-        for x in left.tolist():
-            y = right[(comp[right] != comp[x]) & ((i[0] != j[0]) | (node[right] > node[x]))]
-            apart = _PARITY[sketch[y] ^ sketch[x]].sum(1, dtype=np.int64)
-            y = y[_possible(size[y], size[x], apart, percent)]
-            out.append(np.stack([np.minimum(node[y], node[x]), np.maximum(node[y], node[x])], 1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pa.table([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+        last = np.append(np.flatnonzero((cell[1:] != cell[:-1]).any(1)), len(cell) - 1)
+        later = last[np.searchsorted(last, np.arange(len(cell)))] - np.arange(len(cell))
+        out, begin = [], 0
+        while begin < len(cell):  # about a million pairs at a time
+            end = max(begin + 1, begin + int(np.searchsorted(np.cumsum(later[begin:]), 1 << 20)))
+            n = later[begin:end]
+            x = np.repeat(np.arange(begin, end), n)
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+            ok = (comp[x] != comp[y]) & ((cell[x, 1] == cell[x, 2]) | (chunk[x] != chunk[y]))
+            ok[ok] = 100 * np.minimum(size[x[ok]], size[y[ok]]) >= percent * np.maximum(size[x[ok]], size[y[ok]])
+            x, y = x[ok], y[ok]
+            ok = _possible(size[x], size[y], _PARITY[sketch[x] ^ sketch[y]].sum(1, dtype=np.int64), percent)
+            a, b = node[x[ok]], node[y[ok]]
+            out.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0))
+            begin = end
+        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < 1 << 16:
+                continue
+            table = pa.Table.from_batches(held)
+            keys = table["key"].to_numpy()
+            whole = len(keys) - int(np.argmax(keys[::-1] != keys[-1])) if keys[0] != keys[-1] else 0
+            if whole:  # the last bucket may go on in the next batch
+                found = pairs(table.slice(0, whole))
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
+                held = table.slice(whole).to_batches()
+        if held and (table := pa.Table.from_batches(held)).num_rows:
+            found = pairs(table)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
     return run
 
 
@@ -261,14 +338,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    profile, profile_path = keep(
-        texts.mapInArrow(_profile(n), "doc_id long, n_shingles long, f1 long, f2 long, sketch binary"), "profile")
+    profiled, _ = keep(texts.mapInArrow(_profile(n, percent), _PROFILE), "profile")
+    profile = profiled.where("slice is null")
     classes, classes_path = keep(
         profile.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2")
         .agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")).where("rep is not null"), "classes")
     shingles = classes.agg(F.sum("n_shingles")).first()[0] or 0
 
-    slices = (texts.select("text").mapInArrow(_count(n, percent), "slice int, counts binary")
+    slices = (profiled.where("slice is not null").select("slice", "sketch")
               .groupBy("slice").applyInArrow(_sum_slices, "slice int, counts binary").collect())
     rarity = np.zeros((COUNT_SLICES, COUNT_CELLS // COUNT_SLICES), np.int32)
     for row in slices:  # 4 MB at any size of the input
@@ -284,7 +361,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
                               F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
     stars = (buckets.where("key is null").select(F.col("a").alias("f_a"), F.col("b").alias("f_b")).distinct()
              .join(side("a"), "f_a").join(side("b"), "f_b").where("a <> b")
-             .select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_near(percent), "a long, b long"))
+             .select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_near(percent), "a long, b long, apart long")
+             # The nearest centre of each set; other links are found across components.
+             .groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")))
     links, links_path = _verified(stars, texts, n, percent)
     found, found_path = keep(connected_components(links), "found")
 
@@ -300,7 +379,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
             .select("key", "rep", "component", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
             .join(classes.select("rep", "n_shingles", "sketch"), "rep"))
-    across = grid.groupBy("key", "i", "j").applyInArrow(_across(percent), "a long, b long").distinct()
+    across = (grid.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+              .mapInArrow(_across(percent), "a long, b long").distinct())
     more, more_path = _verified(across, texts, n, percent)
     if not more.isEmpty():
         found, new_path = keep(connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -311,3 +391,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
             .select("n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("component_id")))
     return (profile.join(reps, ["n_shingles", "f1", "f2"], "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of *docs* that stay when one document of each component does
+    (the one with the least doc_id), in all their columns. Of several rows with
+    one doc_id one stays; rows with a null doc_id all do."""
+    found = near_duplicates(docs.select("doc_id", "text"), n, percent)
+    stay = found.where("doc_id = component_id").select("doc_id").distinct()
+    return (docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+            .unionByName(docs.where("doc_id is null")))

@@ -40,7 +40,7 @@ def op2_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and risk-controlled verdict of every document."""
-    return risk_rules.judge(_documents(spark, sf_dir), _labels(spark, sf_dir))
+    return risk_rules.judge(_documents(spark, sf_dir), _labels(spark, sf_dir)).drop("text_hash")
 
 
 def op4_differencing_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,17 +89,18 @@ def _repeated_words(words: Column) -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """*docs* (doc_id, text, stratum) with the base counts in place of the text."""
+    """*docs* (doc_id, text, stratum) with the base counts and a hash in place
+    of the text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     trimmed = F.btrim(text, F.lit(SPACES))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     of_words = _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeated_words(w).alias("repeated")))
-    return (docs.select("doc_id", "stratum", of_words.alias("w"),
+    return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "stratum", of_words.alias("w"),
                         F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
                         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
                         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
-            .select("doc_id", "stratum", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
+            .select("doc_id", "text_hash", "stratum", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
                     F.col("w.repeated").alias("n_repeat_words"))
             .withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")))
 
@@ -150,8 +151,9 @@ def safe_cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ERROR)
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """(doc_id, base counts, base_failed, kept) for each row of *docs* (doc_id,
-    text and the stratum column), with *labels* (doc_id, quality: 1 good, 0 bad).
+    """(doc_id, text_hash, base counts, base_failed, kept) for each row of
+    *docs* (doc_id, text and the stratum column), with *labels* (doc_id,
+    quality: 1 good, 0 bad).
 
     A null text is empty and fails; a null stratum is a stratum of its own; a
     null doc_id or quality is unlabelled; repeated labels of one document count
@@ -166,7 +168,13 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
     for rule in RULES:
         hit = hit | F.coalesce(_rejects(rule, F.col(f"cut_{rule}")), F.lit(False))
     return counts.join(cuts, "stratum", "left").select(
-        "doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & ~hit).alias("kept"))
+        "doc_id", "text_hash", *COUNTS, "base_failed", (~F.col("base_failed") & ~hit).alias("kept"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """The rows of *docs* that :func:`judge` keeps, in all their columns."""
+    kept = judge(docs, labels, stratum, risk, error).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_hash"]), "left_semi")
 
 
 def oracle_sql(risk: float = RISK, error: float = ERROR) -> str:

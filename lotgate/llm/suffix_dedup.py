@@ -172,12 +172,14 @@ def equal_runs(data: np.ndarray, places: np.ndarray, length: int) -> tuple[np.nd
     return index, run
 
 
-_WINDOWS = "kind int, key long, version int, data binary, w1 long, w2 long, first int"
+_BUCKET = f"kind int, key long, version int, data binary, part int, {', '.join(f'{f}_ binary' for f in _FIELDS)}"
+_BUCKET_NAMES = [x.split()[0] for x in _BUCKET.split(", ")]
 
 
-def _sorted_bucket(length: int, gram: int):
-    """Kind 0: removed (start, end) per document; kind 2: windows of anchors at
-    the bucket's ends, to be compared across boundaries."""
+def _sorted_bucket(length: int, gram: int, parts: int):
+    """Kind 0: removed (start, end) per document; kind 2: the first of each
+    distinct window of the anchors at the bucket's ends, packed like the
+    fingerprints and dealt by window, to be compared across boundaries."""
     def run(batches):
         batches = [b for b in batches if b.num_rows]
         if not batches:
@@ -209,15 +211,33 @@ def _sorted_bucket(length: int, gram: int):
         marks = np.zeros(len(begin), [("key", "<i8"), ("version", "<i4"), ("first", "<i4")])
         marks["key"], marks["version"], marks["first"] = key[begin], rows["version"][owner[begin]], first[begin]
         found = _per_document(0, marks, start=first[begin], end=first[last] + length)
-        none = pa.nulls(len(found), pa.int64())
-        yield from found.append_column("w1", none).append_column("w2", none).append_column("first", pa.nulls(len(found), pa.int32())).to_batches()
         edge = np.flatnonzero(at_end[owner] & ~later)
-        w1 = block.slice_hashes(place[edge], place[edge] + length)
-        w2 = block.slice_hashes(place[edge], place[edge] + length // 2)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(edge), 2, np.int32)), pa.array(key[edge]), pa.array(rows["version"][owner[edge]].astype(np.int32)),
-            pa.nulls(len(edge), pa.binary()), pa.array(signed(w1)), pa.array(signed(w2)), pa.array(first[edge].astype(np.int32))],
-            ["kind", "key", "version", "data", "w1", "w2", "first"])
+        ends = np.zeros(len(edge), _ROW)
+        ends["anchor"] = block.slice_hashes(place[edge], place[edge] + length)
+        ends["span"] = block.slice_hashes(place[edge], place[edge] + length // 2)
+        ends["key"], ends["version"], ends["first"] = key[edge], rows["version"][owner[edge]], first[edge]
+        yield from _bucket_rows(found)
+        if len(ends):
+            dealt = pa.Table.from_batches([_dealt(ends, parts)])
+            dealt = dealt.rename_columns(["part", *(f"{f}_" for f in _FIELDS)])
+            yield from _bucket_rows(dealt.append_column("kind", pa.array(np.full(len(dealt), 2, np.int32))))
+    return run
+
+
+_TYPES = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+
+
+def _bucket_rows(table: pa.Table):
+    """*table* in all columns of a bucket's result, null where it has none."""
+    kinds = dict(x.split() for x in _BUCKET.split(", "))
+    return pa.table([table[c] if c in table.column_names else pa.nulls(len(table), _TYPES[kinds[c]]) for c in _BUCKET_NAMES], _BUCKET_NAMES).to_batches()
+
+
+def _across(length: int):
+    """Kind 0 of the windows that started earlier in another bucket."""
+    def run(table: pa.Table) -> pa.Table:
+        _, later = _settle(np.concatenate([np.zeros(0, _ROW), *(_unpacked(r) for r in table.to_pylist())]))
+        return _per_document(0, later, start=later["first"], end=later["first"] + np.int32(length))
     return run
 
 
@@ -283,15 +303,12 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 50, as_text:
     contexts, contexts_path = keep(
         rows.select("key", "version", "text").join(edges, ["key", "version"])
         .mapInArrow(_contexts(length), "suffix binary, before binary, key long, version int, first int, count int"), "contexts")
-    n_edges = contexts.count()
+    n_buckets = partitions_for(spark, contexts.count() * 256)
+    end_parts = n_buckets // 4 + 1
     buckets, buckets_path = keep(
-        contexts.repartitionByRange(partitions_for(spark, n_edges * 256), "suffix", "before", "key")
-        .mapInArrow(_sorted_bucket(length, gram), _WINDOWS), "buckets")
-    ends = buckets.where("kind = 2").select("key", "version", "w1", "w2", "first")
-    least = ends.groupBy("w1", "w2").agg(F.min(F.struct("key", "first")).alias("least"))
-    across = (ends.join(least, ["w1", "w2"]).where(F.struct("key", "first") > F.col("least"))
-              .groupBy("key", "version").agg(F.collect_list("first").alias("firsts"))
-              .mapInArrow(_whole_windows(length), "key long, version int, data binary"))
+        contexts.repartitionByRange(n_buckets, "suffix", "before", "key").mapInArrow(_sorted_bucket(length, gram, end_parts), _BUCKET), "buckets")
+    across = (buckets.where("kind = 2").select("part", *(F.col(f"{f}_").alias(f) for f in _FIELDS))
+              .groupBy("part").applyInArrow(_across(length), _PER_DOCUMENT).select("key", "version", "data"))
     removed = (settled.where("kind = 0").select("key", "version", "data")
                .unionByName(buckets.where("kind = 0").select("key", "version", "data")).unionByName(across)
                .groupBy("key", "version").agg(F.collect_list("data").alias("removed")))
@@ -300,11 +317,3 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 50, as_text:
     schema = (f"row {rows.schema['row'].dataType.simpleString()}, key long, version int, n_bytes long, kept {'string' if as_text else 'binary'}, "
               "removed array<struct<start:int,end:int>>")
     return rows.join(removed, ["key", "version"], "left").select("row", "key", "version", "text", "removed").mapInArrow(partial(_cut, as_text=as_text), schema).drop("key", "version")
-
-
-def _whole_windows(length: int):
-    def run(batches):
-        for batch in batches:
-            data = [np.stack([x := np.array(v, np.int32), x + np.int32(length)], 1).tobytes() for v in column(batch, "firsts").to_pylist()]
-            yield pa.RecordBatch.from_arrays([column(batch, "key"), column(batch, "version"), pa.array(data, pa.binary())], ["key", "version", "data"])
-    return run
