@@ -73,14 +73,18 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.93)
 
 
-def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digest of every document without its repeated 100-byte strings."""
-    cut = remove_repeats(_documents(spark, sf_dir).select("doc_id", "text"), length=100)
+def _digests(docs: DataFrame) -> DataFrame:
+    cut = remove_repeats(docs.select("doc_id", "text"), length=100)
     lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return cut.select("row.doc_id", "n_bytes", lost.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every document without its repeated 100-byte strings."""
+    return _digests(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_ordinal_toxicity": op1_ordinal_toxicity,
     "op2_subword_lattice": op2_subword_lattice,

@@ -31,11 +31,11 @@ RISK, ERROR = 0.10, 0.05
 
 #: rule -> (rate, sign, cutoffs lax to strict); rejects if sign * rate > sign * cutoff.
 RULES: dict[str, tuple[str, int, list[float]]] = {
-    "symbols": ("n_symbols / n_words", 1, [3.0, 2.0, 1.0, 0.5, 0.3, 0.2, 0.1, 0.05]),
-    "long_words": ("word_chars / n_words", 1, [14.0, 12.0, 10.0, 9.0, 8.0, 7.5, 7.0, 6.5]),
-    "short_words": ("word_chars / n_words", -1, [1.5, 2.0, 2.5, 3.0, 3.25, 3.5, 3.75, 4.0]),
-    "dup_lines": ("n_dup_lines / n_words", 1, [0.2, 0.1, 0.07, 0.05, 0.03, 0.02, 0.01, 0.005]),
-    "repeats": ("n_repeat_words / n_words", 1, [0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1]),
+    "symbols": ("n_symbols / nullif(n_words, 0)", 1, [3.0, 2.0, 1.0, 0.5, 0.3, 0.2, 0.1, 0.05]),
+    "long_words": ("word_chars / nullif(n_words, 0)", 1, [14.0, 12.0, 10.0, 9.0, 8.0, 7.5, 7.0, 6.5]),
+    "short_words": ("word_chars / nullif(n_words, 0)", -1, [1.5, 2.0, 2.5, 3.0, 3.25, 3.5, 3.75, 4.0]),
+    "dup_lines": ("n_dup_lines / nullif(n_words, 0)", 1, [0.2, 0.1, 0.07, 0.05, 0.03, 0.02, 0.01, 0.005]),
+    "repeats": ("n_repeat_words / nullif(n_words, 0)", 1, [0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1]),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SPACES = " \t\n\x0b\x0c\r"
