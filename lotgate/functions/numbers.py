@@ -3,7 +3,8 @@
 Submitted values are read as text.  A value that is a number is stored in the
 spelling the source system used for a double (``10`` -> ``10.0``,
 ``1e7`` -> ``10000000.0``, ``1e-5`` -> ``1e-05``, ``1e16`` -> ``1e+16``); any
-other text is kept as submitted.  Everything runs as JVM expressions.
+other text is kept as submitted, and so are integers that a double would
+change (``9007199254740993``, ``00123``).  Everything runs as JVM expressions.
 """
 
 from __future__ import annotations
@@ -67,15 +68,27 @@ def double_text(d: Column) -> Column:
     )
 
 
+def is_exact_integer_text(c: Column) -> Column:
+    """Integer text that a double would change: leading zeros, or digits beyond
+    a double's precision."""
+    whole = c.try_cast("decimal(38,0)")
+    lossy = whole.isNull() | (whole != c.try_cast("double").try_cast("decimal(38,0)"))
+    return c.rlike(r"^[+-]?[0-9]+$") & (c.rlike(r"^[+-]?0[0-9]") | F.coalesce(lossy, F.lit(True)))
+
+
 def canonical_value(c: Column) -> Column:
-    """Number text in canonical double spelling; other text unchanged (D1, D2)."""
-    return F.when(is_number_text(c), double_text(c.try_cast("double"))).otherwise(c)
+    """Number text in canonical double spelling, unless it is an integer that a
+    double cannot hold; that and other text stay unchanged (D1, D2)."""
+    return F.when(is_number_text(c) & ~is_exact_integer_text(c), double_text(c.try_cast("double"))).otherwise(c)
 
 
 def values_differ(stored: Column, incoming: Column) -> Column:
     """The change test (D3, D4): numeric when both sides are numbers, else
     null-safe text inequality.  Never raises."""
     both_numbers = is_number_text(stored) & is_number_text(incoming)
-    return F.when(
-        both_numbers, stored.try_cast("double") != incoming.try_cast("double")
-    ).otherwise(~stored.eqNullSafe(incoming))
+    doubles_differ = stored.try_cast("double") != incoming.try_cast("double")
+    # Integers that a double cannot hold are compared digit by digit.
+    digits_differ = F.coalesce(stored.try_cast("decimal(38,6)") != incoming.try_cast("decimal(38,6)"), stored != incoming)
+    exact = is_exact_integer_text(stored) | is_exact_integer_text(incoming)
+    return (F.when(both_numbers & exact, digits_differ).when(both_numbers, doubles_differ)
+            .otherwise(~stored.eqNullSafe(incoming)))

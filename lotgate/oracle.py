@@ -109,59 +109,53 @@ m_result AS (
                AND r."Parameter" = h.parameter_name
 )"""
 
-# Ordered rule gate over the upload, each rule stated as in a SQL UPDATE chain.
+# The gate, from the rule text: a row fails at the first rule it breaks. What a
+# rule needs to know about a batch is worked out once per batch name and joined.
 STAGE = """
-s12 AS (
-  SELECT * FROM upload
-  WHERE NOT ("Batch Name" IS NULL OR trim("Batch Name") = '')
-    AND try_strptime(trim("DoM"), '%m/%d/%Y') IS NOT NULL
+dated AS (
+  SELECT *, CAST(try_strptime(trim("DoM"), '%m/%d/%Y') AS DATE) AS day,
+         coalesce(trim("Batch Name"), '') = '' AS nameless
+  FROM upload
+),
+-- Batches that the upload itself describes in more than one way.
+torn AS (
+  SELECT DISTINCT "Batch Name" AS torn_name FROM (
+    SELECT "Batch Name", min(trim("DoM")) <> max(trim("DoM")) AS two_days,
+           min(trim("Manufacturer")) <> max(trim("Manufacturer")) AS two_makers
+    FROM dated WHERE NOT nameless AND day IS NOT NULL GROUP BY "Batch Name")
+  WHERE two_days OR two_makers
+),
+-- What the model holds about each stored batch.
+kept AS (
+  SELECT b.batch_name AS kept_name, b.dom AS kept_day, m.name AS kept_maker
+  FROM m_batch b LEFT JOIN m_manufacturer m USING (manufacturer_id)
+),
+known_unit AS (SELECT DISTINCT process_name AS kp, unit_operation_name AS ku
+               FROM m_process JOIN m_unit_operation USING (process_id)),
+checked AS (
+  SELECT d.*, torn_name IS NOT NULL AS is_torn,
+         -- Only a manufacturer the model knows can contradict a stored batch.
+         kept_name IS NOT NULL AND mk.name IS NOT NULL
+           AND (kept_day IS DISTINCT FROM day OR kept_maker IS DISTINCT FROM d."Manufacturer") AS is_moved,
+         mk.name IS NULL AS no_maker, pr.process_name IS NULL AS no_process, ku IS NULL AS no_unit,
+         h.parameter_id IS NULL AS no_parameter
+  FROM dated d
+  LEFT JOIN torn ON torn_name = d."Batch Name"
+  LEFT JOIN kept ON kept_name = d."Batch Name"
+  LEFT JOIN m_manufacturer mk ON mk.name = d."Manufacturer"
+  LEFT JOIN m_process pr ON pr.process_name = d."Process"
+  LEFT JOIN known_unit ON kp = d."Process" AND ku = d."Unit Operation"
+  LEFT JOIN m_hier h ON h.process_name = d."Process" AND h.unit_operation_name = d."Unit Operation"
+                    AND h.parameter_name = d."Parameter"
 ),
 staged AS (
-  SELECT s.*,
-    CASE
-      WHEN s."Batch Name" IS NULL OR trim(s."Batch Name") = '' THEN 'batch_name'
-      WHEN try_strptime(trim(s."DoM"), '%m/%d/%Y') IS NULL THEN 'dom'
-      WHEN EXISTS (
-        SELECT 1 FROM s12 x WHERE x."Batch Name" = s."Batch Name"
-        GROUP BY x."Batch Name"
-        HAVING count(DISTINCT trim(x."DoM")) > 1 OR count(DISTINCT trim(x."Manufacturer")) > 1
-      ) THEN 'batch_metadata'
-      WHEN EXISTS (
-        SELECT 1 FROM m_batch b JOIN m_manufacturer m ON m.name = s."Manufacturer"
-        WHERE b.batch_name = s."Batch Name"
-          AND (b.dom IS DISTINCT FROM CAST(try_strptime(trim(s."DoM"), '%m/%d/%Y') AS DATE)
-               OR b.manufacturer_id IS DISTINCT FROM m.manufacturer_id)
-      ) THEN 'batch_metadata'
-      WHEN NOT EXISTS (SELECT 1 FROM m_manufacturer m WHERE m.name = s."Manufacturer")
-        THEN 'manufacturer'
-      WHEN NOT EXISTS (SELECT 1 FROM m_process p WHERE p.process_name = s."Process")
-        THEN 'process'
-      WHEN NOT EXISTS (
-        SELECT 1 FROM m_process p JOIN m_unit_operation u ON p.process_id = u.process_id
-        WHERE p.process_name = s."Process" AND u.unit_operation_name = s."Unit Operation"
-      ) THEN 'unit_operation'
-      WHEN NOT EXISTS (
-        SELECT 1 FROM m_hier h
-        WHERE h.process_name = s."Process" AND h.unit_operation_name = s."Unit Operation"
-          AND h.parameter_name = s."Parameter"
-      ) THEN 'parameter'
-    END AS rejection_stage,
-    CASE
-      WHEN s."Batch Name" IS NULL OR trim(s."Batch Name") = '' THEN NULL
-      WHEN try_strptime(trim(s."DoM"), '%m/%d/%Y') IS NULL THEN NULL
-      WHEN EXISTS (
-        SELECT 1 FROM s12 x WHERE x."Batch Name" = s."Batch Name"
-        GROUP BY x."Batch Name"
-        HAVING count(DISTINCT trim(x."DoM")) > 1 OR count(DISTINCT trim(x."Manufacturer")) > 1
-      ) THEN 'upload'
-      WHEN EXISTS (
-        SELECT 1 FROM m_batch b JOIN m_manufacturer m ON m.name = s."Manufacturer"
-        WHERE b.batch_name = s."Batch Name"
-          AND (b.dom IS DISTINCT FROM CAST(try_strptime(trim(s."DoM"), '%m/%d/%Y') AS DATE)
-               OR b.manufacturer_id IS DISTINCT FROM m.manufacturer_id)
-      ) THEN 'stored'
-    END AS metadata_scope
-  FROM upload s
+  SELECT c.* EXCLUDE (day, nameless, is_torn, is_moved, no_maker, no_process, no_unit, no_parameter),
+    CASE WHEN nameless THEN 'batch_name' WHEN day IS NULL THEN 'dom'
+         WHEN is_torn OR is_moved THEN 'batch_metadata' WHEN no_maker THEN 'manufacturer'
+         WHEN no_process THEN 'process' WHEN no_unit THEN 'unit_operation'
+         WHEN no_parameter THEN 'parameter' END AS rejection_stage,
+    CASE WHEN nameless OR day IS NULL THEN NULL WHEN is_torn THEN 'upload' WHEN is_moved THEN 'stored' END AS metadata_scope
+  FROM checked c
 ),
 valid AS (SELECT * FROM staged WHERE rejection_stage IS NULL),
 rejected AS (SELECT * FROM staged WHERE rejection_stage IS NOT NULL)"""

@@ -15,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lotgate.plans.load import Load, recurring_load
 from lotgate.plans.migrate import migration_summary, migrate_history
@@ -25,6 +26,7 @@ from lotgate.sources.uploads import read_history, read_uploads
 
 STAGING_TABLE = "stg_manufacturing_data"
 VALID_TABLE = "stg_valid_records"
+SKIPPED_TABLE = "skipped_history"
 
 
 def setup_store(spark: SparkSession, root: str, reset: bool = False) -> ModelStore:
@@ -34,12 +36,17 @@ def setup_store(spark: SparkSession, root: str, reset: bool = False) -> ModelSto
 
 
 def history_migration(spark: SparkSession, root: str, source: str,
-                      run_ts: Column | None = None) -> DataFrame:
-    """Migrate one flat history file; returns the table counts (M-2)."""
+                      run_ts: Column | None = None, multiline: bool = False) -> DataFrame:
+    """Migrate one flat history file; returns the table counts (M-2) and, as
+    ``skipped_history``, the number of rows that could not be stored.  Those
+    rows are published under that name in the same commit."""
     store = ModelStore(root, spark)
-    mig = migrate_history(read_history(spark, source), store.read_model(), run_ts=run_ts)
-    store.publish({k: mig.model[k] for k in MODEL_TABLES}, run_id="history")
-    return migration_summary(store.read_model())
+    mig = migrate_history(read_history(spark, source, multiline), store.read_model(), run_ts=run_ts)
+    store.publish({**{k: mig.model[k] for k in MODEL_TABLES}, SKIPPED_TABLE: mig.skipped}, run_id="history")
+    model = store.read_model()
+    skipped = model.pop(SKIPPED_TABLE).agg(F.lit(SKIPPED_TABLE).alias("table_name"), F.count("*").alias("record_count"))
+    counts = migration_summary(model)
+    return counts.unionByName(skipped.toDF(*counts.columns))
 
 
 @dataclass
@@ -49,11 +56,11 @@ class ValidationRun:
 
 
 def batch_validation(spark: SparkSession, root: str, upload_folder: str,
-                     run_ts: Column | None = None) -> ValidationRun:
+                     run_ts: Column | None = None, multiline: bool = True) -> ValidationRun:
     """Validate every ``*.csv`` in *upload_folder* (the folder is re-read on
     every run, as the uploads are never moved); publish audit and staging."""
     store = ModelStore(root, spark)
-    val = validate_uploads(read_uploads(spark, upload_folder), store.read_model(), run_ts=run_ts)
+    val = validate_uploads(read_uploads(spark, upload_folder, multiline), store.read_model(), run_ts=run_ts)
     run_id = store.publish({
         "rejected_records": val.audit,
         STAGING_TABLE: val.staged.drop("rejection_rule"),
@@ -67,7 +74,9 @@ def batch_load(spark: SparkSession, root: str, commit: bool = False) -> Load:
     published (a dry run); duplicate input raises before any write."""
     store = ModelStore(root, spark)
     model = store.read_model()
-    load = recurring_load(store.read(VALID_TABLE), model)
+    if VALID_TABLE not in model:
+        raise KeyError(f"table {VALID_TABLE} has never been published in {root}")
+    load = recurring_load(model[VALID_TABLE], model)  # one snapshot for both
     if commit:
         store.publish({"batch": load.model["batch"], "result": load.model["result"]}, run_id="load")
     return load

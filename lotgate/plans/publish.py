@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,8 +45,10 @@ class ModelStore:
     def commits(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits_path)
-        except Exception:  # no commit yet
-            return None
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None  # no commit yet
 
     def current_paths(self) -> dict[str, str]:
         log = self.commits()
@@ -62,13 +65,16 @@ class ModelStore:
         path = self.current_paths().get(table)
         if path is None:
             raise KeyError(f"table {table} has never been published in {self.root}")
+        return self._open(table, path)
+
+    def _open(self, table: str, path: str) -> DataFrame:
         schema = SCHEMAS.get(table)
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
         return reader.parquet(path)
 
     def read_model(self) -> dict[str, DataFrame]:
-        paths = self.current_paths()
-        return {name: self.read(name) for name in paths}
+        """All tables as of one commit: the log is read once."""
+        return {name: self._open(name, path) for name, path in self.current_paths().items()}
 
     def publish(self, tables: dict[str, DataFrame], run_id: str | None = None) -> str:
         """Write every table of this run, then commit them together (U-6)."""

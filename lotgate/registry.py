@@ -462,25 +462,32 @@ def _rejection_hash(st: State) -> DataFrame:
 
 # Number texts built from integer columns so both engines see the same input.
 _VALUE_TEXT_SQL = """
-CASE l_linenumber % 3
+CASE l_linenumber % 5
   WHEN 0 THEN CAST(l_partkey * 1000 + l_orderkey % 1000 AS VARCHAR) || 'e' || CAST((l_orderkey % 41) - 20 AS VARCHAR)
   WHEN 1 THEN CAST(l_partkey AS VARCHAR) || '.' || CAST(l_orderkey % 100 AS VARCHAR)
+  WHEN 2 THEN '9007199254' || lpad(CAST(l_partkey AS VARCHAR), 6, '0') || CAST(l_orderkey % 1000 AS VARCHAR)
+  WHEN 3 THEN '00' || CAST(l_partkey AS VARCHAR)
   ELSE 'lot ' || CAST(l_partkey AS VARCHAR)
 END"""
 
 
 @check("canonical_value", f"""
 SELECT DISTINCT value_text,
-  CASE WHEN regexp_full_match(value_text, '{NUM_RE}') THEN CAST(CAST(value_text AS DOUBLE) AS VARCHAR)
+  CASE WHEN regexp_full_match(value_text, '[+-]?[0-9]+') AND (regexp_matches(value_text, '^[+-]?0[0-9]')
+            OR try_cast(CAST(CAST(value_text AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 0)) IS DISTINCT FROM try_cast(value_text AS DECIMAL(38, 0)))
+         THEN value_text
+       WHEN regexp_full_match(value_text, '{NUM_RE}') THEN CAST(CAST(value_text AS DOUBLE) AS VARCHAR)
        ELSE value_text END AS canonical
 FROM (SELECT {_VALUE_TEXT_SQL} AS value_text FROM lineitem)""")
 def _canonical_value(st: State) -> DataFrame:
     li = fx.table(st.spark, st.sf_dir, "lineitem")
     ln, pk, ok = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_orderkey")
     text = (
-        F.when(ln % 3 == 0, F.concat((pk * 1000 + ok % 1000).cast("string"), F.lit("e"),
+        F.when(ln % 5 == 0, F.concat((pk * 1000 + ok % 1000).cast("string"), F.lit("e"),
                                      ((ok % 41) - 20).cast("string")))
-        .when(ln % 3 == 1, F.concat(pk.cast("string"), F.lit("."), (ok % 100).cast("string")))
+        .when(ln % 5 == 1, F.concat(pk.cast("string"), F.lit("."), (ok % 100).cast("string")))
+        .when(ln % 5 == 2, F.concat(F.lit("9007199254"), F.lpad(pk.cast("string"), 6, "0"), (ok % 1000).cast("string")))
+        .when(ln % 5 == 3, F.concat(F.lit("00"), pk.cast("string")))
         .otherwise(F.concat(F.lit("lot "), pk.cast("string")))
     )
     return li.select(text.alias("value_text")).distinct().select(

@@ -52,9 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
-        # Only reached without a cluster-provided folder (local tests).
+    elif sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lotgate-ckpt-"))
+    else:  # executors elsewhere cannot see a folder of this machine
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     return sc.getCheckpointDir()
 
 

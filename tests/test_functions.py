@@ -34,6 +34,11 @@ def test_non_number_text_kept(spark, text):
     assert one(spark, canonical_value, [text]) == [text]
 
 
+@pytest.mark.parametrize("text", ["9007199254740993", "12345678901234567891", "-9007199254740993", "00123", "-007", "1" * 45])
+def test_integers_a_double_would_change_are_kept(spark, text):
+    assert one(spark, canonical_value, [text]) == [text]
+
+
 @pytest.mark.parametrize("exp", range(-6, 18))
 def test_powers_of_ten(spark, exp):
     text = f"1e{exp}"
@@ -47,6 +52,10 @@ def test_powers_of_ten(spark, exp):
     # D3: numbers compare numerically, other text as text.
     ("10", "10.0", False), ("10.0", "1e1", False), ("abc", "abc", False), ("abc", "ABC", True),
     ("5d", "5.0", True),
+    # Integers beyond a double's precision are compared exactly.
+    ("9007199254740992.0", "9007199254740993", True), ("9007199254740993", "9007199254740993", False),
+    ("12345678901234567891", "12345678901234567890", True), ("00123", "123.0", False), ("00123", "00124", True),
+    ("1" * 45, "1" * 44 + "2", True),
 ])
 def test_values_differ(spark, old, new, changed):
     df = spark.createDataFrame([(old, new)], "a string, b string")

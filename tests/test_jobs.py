@@ -36,7 +36,7 @@ def test_four_jobs(spark):
     counts = {r.table_name: r.row_count for r in
               history_migration(spark, root, os.path.join(hist, "history.csv")).collect()}
     assert counts == {"manufacturer": 2, "process": 1, "unit_operation": 2, "parameter": 3,
-                      "batch": 2, "result": 3}
+                      "batch": 2, "result": 3, "skipped_history": 0}
 
     uploads = scratch_path(spark, "jobs-up")
     write(uploads, "t1.csv", "Batch Name,Process,Manufacturer,DoM,Unit Operation,Parameter,Value\r\n"
@@ -63,3 +63,26 @@ def test_four_jobs(spark):
     with pytest.raises(DuplicateResultsError):
         batch_load(spark, root, commit=True)
     assert store.read("result").count() == 4
+
+
+def test_history_rows_that_cannot_be_stored_are_reported(spark):
+    root = scratch_path(spark, "jobs-skipped")
+    store = setup_store(spark, root)
+    hist = scratch_path(spark, "jobs-skipped-hist")
+    write(hist, "history.csv", HISTORY + "K9,,1/5/2026,Main,A,Time,1\n")
+    counts = {r.table_name: r.row_count for r in history_migration(spark, root, os.path.join(hist, "history.csv")).collect()}
+    assert counts["skipped_history"] == 1 and counts["result"] == 3
+    assert store.read("skipped_history").first()["Batch Name"] == "K9"
+
+
+def test_store_only_takes_a_missing_path_for_no_commit(spark):
+    root = scratch_path(spark, "jobs-broken")
+    store = setup_store(spark, root)
+    folder = local(f"{root}/_commits") if "local" in globals() else f"{root}/_commits".removeprefix("file:")
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            with open(os.path.join(folder, name), "r+b") as fh:
+                fh.truncate(10)
+    with pytest.raises(Exception) as err:
+        store.initialize()
+    assert not isinstance(err.value, FileExistsError)
