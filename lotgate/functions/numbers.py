@@ -69,11 +69,11 @@ def double_text(d: Column) -> Column:
 
 
 def is_exact_integer_text(c: Column) -> Column:
-    """Integer text that a double would change: leading zeros, or digits beyond
-    a double's precision."""
-    whole = c.try_cast("decimal(38,0)")
-    lossy = whole.isNull() | (whole != c.try_cast("double").try_cast("decimal(38,0)"))
-    return c.rlike(r"^[+-]?[0-9]+$") & (c.rlike(r"^[+-]?0[0-9]") | F.coalesce(lossy, F.lit(True)))
+    """Integer text that the canonical spelling would change in value or
+    digits: leading zeros, or more digits than the spelling of its double."""
+    spelled = double_text(c.try_cast("double")).try_cast("decimal(38,0)")
+    lossy = F.when(F.length(c) > 15, F.coalesce(c.try_cast("decimal(38,0)") != spelled, F.lit(True))).otherwise(F.lit(False))
+    return F.coalesce(c.rlike(r"^[+-]?[0-9]+$") & (c.rlike(r"^[+-]?0[0-9]") | lossy), F.lit(False))
 
 
 def canonical_value(c: Column) -> Column:

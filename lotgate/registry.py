@@ -279,7 +279,7 @@ def _validate_stages(st: State) -> DataFrame:
 
 
 @check("metadata_conflicts", with_ctes(
-    """SELECT "Batch Name" FROM s12 GROUP BY "Batch Name"
+    """SELECT "Batch Name" FROM dated WHERE NOT nameless AND day IS NOT NULL GROUP BY "Batch Name"
        HAVING count(DISTINCT trim("DoM")) > 1 OR count(DISTINCT trim("Manufacturer")) > 1""",
     upto="stage"))
 def _metadata_conflicts(st: State) -> DataFrame:
@@ -473,12 +473,15 @@ END"""
 
 @check("canonical_value", f"""
 SELECT DISTINCT value_text,
-  CASE WHEN regexp_full_match(value_text, '[+-]?[0-9]+') AND (regexp_matches(value_text, '^[+-]?0[0-9]')
-            OR try_cast(CAST(CAST(value_text AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 0)) IS DISTINCT FROM try_cast(value_text AS DECIMAL(38, 0)))
-         THEN value_text
-       WHEN regexp_full_match(value_text, '{NUM_RE}') THEN CAST(CAST(value_text AS DOUBLE) AS VARCHAR)
+  CASE WHEN regexp_matches(value_text, '^0[0-9]+$') THEN value_text
+       -- Integers whose double, written out in full, has other digits.
+       WHEN regexp_full_match(value_text, '[0-9]+') AND value_text <> CASE WHEN spelled LIKE '%e+%'
+            THEN rpad(replace(split_part(spelled, 'e', 1), '.', ''), CAST(split_part(spelled, '+', 2) AS INTEGER) + 1, '0')
+            ELSE replace(spelled, '.0', '') END THEN value_text
+       WHEN regexp_full_match(value_text, '{NUM_RE}') THEN spelled
        ELSE value_text END AS canonical
-FROM (SELECT {_VALUE_TEXT_SQL} AS value_text FROM lineitem)""")
+FROM (SELECT *, CAST(TRY_CAST(value_text AS DOUBLE) AS VARCHAR) AS spelled
+      FROM (SELECT {_VALUE_TEXT_SQL} AS value_text FROM lineitem))""")
 def _canonical_value(st: State) -> DataFrame:
     li = fx.table(st.spark, st.sf_dir, "lineitem")
     ln, pk, ok = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_orderkey")
