@@ -4,7 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
-from conftest import corpus, random_words, words_of
+from cases import corpus, docs, none, random_words, words_of  # noqa: F401
 from pyspark.sql import functions as F
 
 from lotgate.llm import parity_join, suffix_dedup

@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import words_of
+from cases import words_of
 
 import __spark_entry__ as entry
 import corpus_pipeline

@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import SCHEMA, WORD, corpus, random_words, words_of
+from cases import SCHEMA, WORD, corpus, docs, labels, none, random_words, words_of  # noqa: F401
 from pyspark.sql import functions as F
 
 from lotgate.llm import importance, lattice_lm, licenses, mixing, ordinal_toxicity, packing, risk_rules
