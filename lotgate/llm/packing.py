@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 
 import numpy as np
@@ -38,8 +39,8 @@ WINDOW = 2048
 PIECE = 512
 END_ID = 1
 GROUP_WINDOWS = 256
-CACHE_WORDS = 400_000
-_TAIL = b",.;:!?"
+CACHE_WORDS = 1_000_000
+_TAIL = re.compile(rb"([A-Za-z0-9])([,.;:!?])(?=[ \n]|$)")
 
 
 class WordEncoder:
@@ -50,32 +51,41 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self.is_end[number] = token.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, words: set[bytes]) -> None:
         if len(self.known) + len(words) > CACHE_WORDS:
             self.known.clear()
-        split = {}
-        for word in words:  # trailing marks are tokens of their own after a letter or digit
-            core = word.rstrip(_TAIL)
-            split[word] = (core, word[len(core):]) if core != word and core and core[-1:].isalnum() else (word, b"")
-        new = [x for x in {y for pair in split.values() for y in pair if y} if x not in self.known]
-        for x, found in zip(new, self.tokenizer.encode_batch([x.decode("utf-8", "replace") for x in new], add_special_tokens=False)):
-            self.known[x] = np.array(found.ids, "<u4").tobytes()
-        self.known[b""] = b""
-        for word, (core, tail) in split.items():
-            self.known[word] = self.known[core] + self.known[tail]
+        # A word of letters only ends with its one end-of-word token, so many
+        # are encoded as one text; others, one by one.
+        letters, others = [], []
+        for word in words:
+            (letters if word.decode("utf-8", "replace").isalpha() else others).append(word)
+        if letters:
+            ids = np.array(self.tokenizer.encode(b" ".join(letters).decode(), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.is_end[np.minimum(ids, len(self.is_end) - 1)]) + 1
+            if len(ends) == len(letters) and ends[-1] == len(ids):
+                data, cut = ids.tobytes(), [0, *(4 * ends).tolist()]
+                self.known.update(zip(letters, (data[a:b] for a, b in zip(cut, cut[1:]))))
+            else:  # a letter that turns into several
+                others += letters
+        for word, found in zip(others, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in others], add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        # ASCII case is folded before the lookup, as the tokenizer does; a text
+        # ASCII case is folded before the lookup, as the tokenizer does, and a
+        # mark that ends a word is split off, as a token of its own; a text
         # that may name a special token keeps its spelling.
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        missing = {w for ws in words for w in ws if w not in self.known}
+        words = [(t if b"<|" in t else _TAIL.sub(rb"\1 \2", t.lower())).split() for t in texts]
+        missing = set().union(*words).difference(self.known)
         if missing:
-            kept = self.known
+            if len(self.known) + len(missing) > CACHE_WORDS:
+                missing = set().union(*words)  # _learn starts anew
             self._learn(missing)
-            if self.known is kept:
-                self._learn({w for ws in words for w in ws if w not in self.known})
         known = self.known
         return [b"".join([known[w] for w in ws]) for ws in words]
 
