@@ -258,6 +258,7 @@ def score(docs: DataFrame, pieces_path: str, rounds: int = ROUNDS) -> DataFrame:
     texts = blocks.where("n_tokens is not null")
     placed = blocks.where("n_tokens is null").select("block", "words", "counts").mapInArrow(_block_words, "block long, place int, word binary, c long")
     words, words_path = keep(placed.groupBy("word").agg(F.sum("c").alias("c")), "lm_words")
+    discard(spark)
     seen = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v"),
                      F.count(F.when(F.col("c") == 1, 1)).alias("n1"), F.count(F.when(F.col("c") == 2, 1)).alias("n2")).first()
     end_count = texts.where("not held_out").count()

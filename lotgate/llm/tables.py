@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,13 @@ def keep(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 
 
 def discard(spark, *paths: str) -> None:
-    """Delete handoff folders that no later step reads."""
+    """Delete handoff folders that no later step reads, and let go of the
+    shuffle files of finished steps."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    # Shuffle files go once the driver has collected the plans that made them.
+    gc.collect()
+    jvm.System.gc()
     for path in paths:
         folder = jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(conf).delete(folder, True)
