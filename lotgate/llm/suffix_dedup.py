@@ -42,7 +42,7 @@ from .anchors import anchors
 from .blocks import Block, column, signed, text_blocks
 from .tables import discard, keep, partitions_for
 
-FLUSH = 1 << 21  # anchors that a task holds before it hands them on
+FLUSH = 1 << 20  # anchors that a task holds before it hands them on
 BLOCK = 1 << 20
 _LAST = (1 << 63) - 1
 _ROW = np.dtype([("anchor", "<u8"), ("span", "<u8"), ("key", "<i8"), ("version", "<i4"), ("first", "<i4"), ("count", "u1"), ("ahead", "u1")])
