@@ -24,10 +24,13 @@ passage come last and are hardly ever offered. The order decides the amount of
 work only, never the result.
 
 *Verify.* Sets that share an offer are first joined to the least one of the
-bucket (a star, not all pairs). After the components of the verified stars are
-known, only buckets that span several components are looked at again: there all
-pairs across components are screened by a 512-bit parity sketch and verified.
-A link inside one component changes nothing, so none is lost. Verification
+bucket (a star, not all pairs, in a part of the buckets); of its centres a set
+verifies the least and the nearest by a 2048-bit parity sketch. After the
+components of the verified stars are known, all buckets that span several
+components are looked at again, with pairs across components screened by that
+sketch: first the nearest of each set, then, with the components that gives,
+all of them. A link inside one component changes nothing, so
+none is lost. Verification
 compares the shingle sets of the two whole texts.
 
 Exact copies (equal sets) are one class throughout and offered once per task.
@@ -46,13 +49,15 @@ from .blocks import Block, column, mix, shingle_sets, signed, text_blocks
 from .components import connected_components
 from .tables import discard, keep, partitions_for
 
-SKETCH_BITS = 512
+SKETCH_BITS = 2048
 COUNT_CELLS = 1 << 20  # of the rarity sketch: 4 MB whatever the input
 COUNT_SLICES = 16
 BITMAP_BYTES = 1 << 21
-FLUSH = 1 << 21  # offers that a task holds before it hands them on
-GRID = 4096  # members of a bucket that one task compares
-_PARITY = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.uint16)
+FLUSH = 1 << 20  # offers that a task holds before it hands them on
+STAR_OF = 8
+SPREAD = 256
+GRID = 2048  # members of a bucket that one task compares
+PAIRS_AT_ONCE = 1 << 17
 
 
 def _sketch(shingles: np.ndarray) -> bytes:
@@ -188,7 +193,9 @@ def _buckets(table: pa.Table) -> pa.Table:
     centre = np.repeat(owner[first], size)
     shared = np.repeat(size > 1, size)
     key, owner, centre = key[shared], owner[shared], centre[shared]
-    pairs = np.unique(np.stack([centre, owner], 1)[centre != owner], axis=0) if len(key) else np.zeros((0, 2), np.uint64)
+    # Sets that link share many buckets; an eighth of them give enough stars.
+    star = (centre != owner) & (mix(key) % np.uint64(STAR_OF) == 0)
+    pairs = np.unique(np.stack([centre, owner], 1)[star], axis=0) if len(key) else np.zeros((0, 2), np.uint64)
     none = pa.nulls(len(pairs), pa.int64())
     return pa.concat_tables([
         pa.table([none, pa.array(signed(pairs[:, 0].copy())), pa.array(signed(pairs[:, 1].copy()))], ["key", "a", "b"]),
@@ -200,13 +207,21 @@ def _near(percent: int):
     def run(batches):
         for batch in batches:
             na, nb = (column(batch, c).to_numpy() for c in ("n_a", "n_b"))
-            x, y = (np.frombuffer(b"".join(column(batch, c).to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8) for c in ("s_a", "s_b"))
-            apart = _PARITY[x ^ y].sum(1, dtype=np.int64)
+            apart = _apart(*(_sketches_of(column(batch, c).to_pylist()) for c in ("s_a", "s_b")))
             ok = _possible(na, nb, apart, percent)
-            yield pa.RecordBatch.from_arrays([column(batch, "a"), column(batch, "b"), pa.array(apart)], ["a", "b", "apart"]).filter(pa.array(ok))
+            yield pa.RecordBatch.from_arrays([column(batch, "a"), column(batch, "b"), column(batch, "f_a"), pa.array(apart)], ["a", "b", "f_a", "apart"]).filter(pa.array(ok))
     return run
 
 
+def _sketches_of(values: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.uint64).reshape(-1, SKETCH_BITS // 64)
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hamming distances of rows of sketches."""
+    return np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+
+
 def _possible(na, nb, apart, percent):
     small, large = np.minimum(na, nb), np.maximum(na, nb)
     # J >= p/100 and |A| + |B| = s: at most s * (100 - p) / (100 + p) differ.
@@ -281,8 +296,10 @@ def _in_bitmap(bitmap):
     return run
 
 
-def _across(percent: int):
-    """Of the buckets in a task: all pairs in different components, screened.
+def _across(percent: int, nearest: bool):
+    """Of the buckets in a task: pairs in different components, screened. All
+    of them once per task, or (*nearest*) each member's nearest with the
+    distance.
 
     Rows come sorted by (key, i, j). A cell (i, j) of a bucket's grid holds the
     members of its chunks i and j, at most two chunks of about GRID members.
@@ -290,26 +307,29 @@ def _across(percent: int):
     def pairs(table: pa.Table) -> np.ndarray:
         cell = np.stack([table[c].to_numpy() for c in ("key", "i", "j")], 1)
         chunk, node, comp, size = (table[c].to_numpy() for c in ("chunk", "rep", "component", "n_shingles"))
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
+        sketch = _sketches_of(table["sketch"].to_pylist())
         last = np.append(np.flatnonzero((cell[1:] != cell[:-1]).any(1)), len(cell) - 1)
         later = last[np.searchsorted(last, np.arange(len(cell)))] - np.arange(len(cell))
-        out, begin = [], 0
-        while begin < len(cell):  # about a million pairs at a time
-            end = max(begin + 1, begin + int(np.searchsorted(np.cumsum(later[begin:]), 1 << 20)))
+        through = np.append(0, np.cumsum(later))
+        out, begin = [np.zeros((0, 3), np.int64)], 0
+        while begin < len(cell):
+            end = max(begin + 1, int(np.searchsorted(through, through[begin] + PAIRS_AT_ONCE)))
             n = later[begin:end]
-            x = np.repeat(np.arange(begin, end), n)
+            x = np.repeat(np.arange(begin, begin + len(n)), n)
             y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
             ok = (comp[x] != comp[y]) & ((cell[x, 1] == cell[x, 2]) | (chunk[x] != chunk[y]))
-            ok[ok] = 100 * np.minimum(size[x[ok]], size[y[ok]]) >= percent * np.maximum(size[x[ok]], size[y[ok]])
             x, y = x[ok], y[ok]
-            ok = _possible(size[x], size[y], _PARITY[sketch[x] ^ sketch[y]].sum(1, dtype=np.int64), percent)
-            a, b = node[x[ok]], node[y[ok]]
-            out.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0))
+            ok = 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+            x, y = x[ok], y[ok]
+            apart = _apart(sketch[x], sketch[y])
+            ok = _possible(size[x], size[y], apart, percent)
+            out.append(_least(np.stack([node[x[ok]], node[y[ok]], apart[ok]], 1), nearest))
             begin = end
-        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        return _least(np.concatenate(out), nearest)
 
     def run(batches):
         held: list[pa.RecordBatch] = []
+        found = np.zeros((0, 3), np.int64)
         for batch in batches:
             held.append(batch)
             if sum(b.num_rows for b in held) < 1 << 16:
@@ -318,15 +338,34 @@ def _across(percent: int):
             keys = table["key"].to_numpy()
             whole = len(keys) - int(np.argmax(keys[::-1] != keys[-1])) if keys[0] != keys[-1] else 0
             if whole:  # the last bucket may go on in the next batch
-                found = pairs(table.slice(0, whole))
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
+                found = _least(np.concatenate([found, pairs(table.slice(0, whole))]), nearest)
                 held = table.slice(whole).to_batches()
+            if len(found) > FLUSH:
+                yield _pair_batch(found)
+                found = found[:0]
         if held and (table := pa.Table.from_batches(held)).num_rows:
-            found = pairs(table)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
+            found = _least(np.concatenate([found, pairs(table)]), nearest)
+        if len(found):
+            yield _pair_batch(found)
     return run
 
 
+def _least(pairs: np.ndarray, nearest: bool) -> np.ndarray:
+    """Distinct (least, greatest, distance) rows; with *nearest* those that are
+    the nearest of one of their members."""
+    pairs = np.concatenate([np.sort(pairs[:, :2], axis=1), pairs[:, 2:]], 1)
+    if nearest and len(pairs):
+        both = np.concatenate([pairs, pairs[:, [1, 0, 2]]])
+        both = both[np.lexsort((both[:, 1], both[:, 2], both[:, 0]))]
+        both = both[np.append(True, both[1:, 0] != both[:-1, 0])]
+        pairs = np.concatenate([np.sort(both[:, :2], axis=1), both[:, 2:]], 1)
+    return np.unique(pairs, axis=0)
+
+
+def _pair_batch(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i])) for i in range(3)], ["a", "b", "apart"])
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of *docs* (doc_id, text).
 
@@ -361,32 +400,42 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
                               F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
     stars = (buckets.where("key is null").select(F.col("a").alias("f_a"), F.col("b").alias("f_b")).distinct()
              .join(side("a"), "f_a").join(side("b"), "f_b").where("a <> b")
-             .select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_near(percent), "a long, b long, apart long")
-             # The nearest centre of each set; other links are found across components.
-             .groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")))
+             .select("a", "b", "f_a", "n_a", "n_b", "s_a", "s_b").mapInArrow(_near(percent), "a long, b long, f_a long, apart long")
+             .groupBy("b").agg(F.min_by("a", "f_a").alias("least"), F.min_by("a", F.struct("apart", "a")).alias("nearest"))
+             .select("b", F.explode(F.array_distinct(F.array("least", "nearest"))).alias("a")))
     links, links_path = _verified(stars, texts, n, percent)
     found, found_path = keep(connected_components(links), "found")
 
-    members = (classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-               .withColumn("component", F.coalesce("component", "rep")))
-    shared = (buckets.where("key is not null").select("key", F.col("a").alias("f1"))
-              .join(members.select("f1", "rep", "component"), "f1").select("key", "rep", "component"))
-    shared, shared_path = keep(shared, "shared")
-    mixed = (shared.groupBy("key").agg(F.countDistinct("component").alias("c"), F.count("*").alias("n"))
-             .where("c > 1").select("key", (F.col("n") / GRID).cast("int").alias("last")))
-    grid = (shared.join(mixed, "key")
-            .withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("last") + 1).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-            .select("key", "rep", "component", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-            .join(classes.select("rep", "n_shingles", "sketch"), "rep"))
-    across = (grid.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-              .mapInArrow(_across(percent), "a long, b long").distinct())
-    more, more_path = _verified(across, texts, n, percent)
-    if not more.isEmpty():
-        found, new_path = keep(connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                                                    .unionByName(more)), "found")
-        discard(spark, found_path)
-    discard(spark, buckets_path, shared_path, links_path, more_path)
+    for nearest in (True, False):  # nearest neighbours first: few pairs, and most components
+        members = (classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+                   .select("f1", "rep", F.coalesce("component", "rep").alias("component")))
+        shared, shared_path = keep(buckets.where("key is not null").select("key", F.col("a").alias("f1"))
+                                   .join(members, "f1").select("key", "rep", "component"), "shared")
+        # Buckets of one group of documents go to one task, where their pairs are
+        # found once; the larger a bucket, the more tasks its group is dealt to.
+        mixed = (shared.groupBy("key").agg(F.countDistinct("component").alias("c"), F.count("*").alias("n"), F.min("rep").alias("home"))
+                 .where("c > 1").select("key", "home", (F.col("n") / GRID).cast("int").alias("last"),
+                                        F.pmod(F.xxhash64("key"), F.col("n") / SPREAD + 1).cast("int").alias("deal")))
+        grid = (shared.join(mixed, "key")
+                .withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("last") + 1).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+                .select("key", "rep", "component", "chunk", "home", "deal",
+                        F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+                .join(classes.select("rep", "n_shingles", "sketch"), "rep"))
+        across = (grid.repartition("home", "deal", "i", "j").sortWithinPartitions("key", "i", "j")
+                  .mapInArrow(_across(percent, nearest), "a long, b long, apart long"))
+        if nearest:
+            both = across.unionByName(across.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
+            best = both.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
+            across = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        more, more_path = _verified(across.select("a", "b").distinct(), texts, n, percent)
+        if not more.isEmpty():
+            found, new_path = keep(connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                                                        .unionByName(more)), "found")
+            discard(spark, found_path)
+            found_path = new_path
+        discard(spark, shared_path, more_path)
+    discard(spark, buckets_path, links_path)
     reps = (classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
             .select("n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("component_id")))
     return (profile.join(reps, ["n_shingles", "f1", "f2"], "left")
