@@ -69,11 +69,9 @@ def double_text(d: Column) -> Column:
 
 
 def is_exact_integer_text(c: Column) -> Column:
-    """Integer text that the canonical spelling would change in value or
-    digits: leading zeros, or more digits than the spelling of its double."""
-    spelled = double_text(c.try_cast("double")).try_cast("decimal(38,0)")
-    lossy = F.when(F.length(c) > 15, F.coalesce(c.try_cast("decimal(38,0)") != spelled, F.lit(True))).otherwise(F.lit(False))
-    return F.coalesce(c.rlike(r"^[+-]?[0-9]+$") & (c.rlike(r"^[+-]?0[0-9]") | lossy), F.lit(False))
+    """Integer text that the spelling of its double could change: leading
+    zeros, or more than the 15 significant digits that every double keeps."""
+    return F.coalesce(c.rlike(r"^[+-]?(0[0-9]+|[1-9][0-9]{14,}[1-9]0*)$"), F.lit(False))
 
 
 def canonical_value(c: Column) -> Column:

@@ -60,6 +60,17 @@ def _grouping_id(group: tuple[str, ...]) -> int:
     return gid
 
 
+def distinct_entities(src: DataFrame) -> DataFrame:
+    """Every distinct entity set (A-6) in one scan and one shuffle: a
+    grouping-sets aggregate tagged by grouping id."""
+    return src.groupingSets([list(g) for g in ENTITY_SETS.values()], *ENTITY_COLS).agg(F.grouping_id().alias("_gid"))
+
+
+def entity_rows(entities: DataFrame, name: str) -> DataFrame:
+    """One entity set of :func:`distinct_entities`, in its own columns."""
+    return entities.filter(F.col("_gid") == _grouping_id(ENTITY_SETS[name])).select(*ENTITY_SETS[name])
+
+
 @dataclass
 class Migration:
     model: dict[str, DataFrame]
@@ -88,17 +99,11 @@ def migrate_history(history: DataFrame, model: dict[str, DataFrame] | None = Non
         model[name] = res.next_state
         inserted[name] = res.inserted
 
-    # Every distinct entity set (A-6) in one scan and one shuffle: a
-    # grouping-sets aggregate tagged by grouping id, kept in the reliable
-    # checkpoint folder because each dimension step reads it.
-    entities = src.groupingSets(
-        [list(g) for g in ENTITY_SETS.values()], *ENTITY_COLS
-    ).agg(F.grouping_id().alias("_gid"))
-    entities = materialize(entities, "entities")
+    # Kept in the reliable checkpoint folder because each dimension step reads it.
+    entities = materialize(distinct_entities(src), "entities")
 
     def entity(name: str) -> DataFrame:
-        return entities.filter(F.col("_gid") == _grouping_id(ENTITY_SETS[name])) \
-            .select(*ENTITY_SETS[name])
+        return entity_rows(entities, name)
 
     def manufacturers() -> None:
         step("manufacturer", entity("manufacturer").select(F.col("Manufacturer").alias("name")))

@@ -31,7 +31,7 @@ from lotgate.operators.audit import audit_rejections
 from lotgate.operators.rules import rule_hits, upload_conflicts, survivors_of_row_rules
 from lotgate.oracle import NUM_RE, with_ctes
 from lotgate.plans.load import recurring_load
-from lotgate.plans.migrate import migrate_history, migration_summary
+from lotgate.plans.migrate import distinct_entities, entity_rows, migrate_history, migration_summary
 from lotgate.plans.publish import ModelStore
 from lotgate.plans.validate import stage_raw, validate_uploads
 from lotgate.schemas import REQUIRED_COLUMNS
@@ -237,20 +237,20 @@ def _reject_json(st: State) -> DataFrame:
 
 # Projections, distinct -----------------------------------------------------
 
-@check("distinct_names", with_ctes('SELECT DISTINCT "Manufacturer" AS name FROM hist', upto="hist"))
+@check("distinct_names", with_ctes('SELECT DISTINCT "Manufacturer" AS name FROM flat', upto="flat"))
 def _distinct_names(st: State) -> DataFrame:
-    return st.hist.select(F.col("Manufacturer").alias("name")).distinct()
+    return entity_rows(distinct_entities(fx.flat(st.spark, st.sf_dir)), "manufacturer").select(F.col("Manufacturer").alias("name"))
 
 
-@check("distinct_pairs", with_ctes('SELECT DISTINCT "Process", "Unit Operation" FROM hist', upto="hist"))
+@check("distinct_pairs", with_ctes('SELECT DISTINCT "Process", "Unit Operation" FROM flat', upto="flat"))
 def _distinct_pairs(st: State) -> DataFrame:
-    return st.hist.select("Process", "Unit Operation").distinct()
+    return entity_rows(distinct_entities(fx.flat(st.spark, st.sf_dir)), "unit_operation")
 
 
 @check("distinct_triples", with_ctes(
-    'SELECT DISTINCT "Process", "Unit Operation", "Parameter" FROM hist', upto="hist"))
+    'SELECT DISTINCT "Process", "Unit Operation", "Parameter" FROM flat', upto="flat"))
 def _distinct_triples(st: State) -> DataFrame:
-    return st.hist.select("Process", "Unit Operation", "Parameter").distinct()
+    return entity_rows(distinct_entities(fx.flat(st.spark, st.sf_dir)), "parameter")
 
 
 # Rules ---------------------------------------------------------------------
@@ -474,10 +474,8 @@ END"""
 @check("canonical_value", f"""
 SELECT DISTINCT value_text,
   CASE WHEN regexp_matches(value_text, '^0[0-9]+$') THEN value_text
-       -- Integers whose double, written out in full, has other digits.
-       WHEN regexp_full_match(value_text, '[0-9]+') AND value_text <> CASE WHEN spelled LIKE '%e+%'
-            THEN rpad(replace(split_part(spelled, 'e', 1), '.', ''), CAST(split_part(spelled, '+', 2) AS INTEGER) + 1, '0')
-            ELSE replace(spelled, '.0', '') END THEN value_text
+       -- Integers with more significant digits than every double keeps.
+       WHEN regexp_full_match(value_text, '[0-9]+') AND length(rtrim(value_text, '0')) > 15 THEN value_text
        WHEN regexp_full_match(value_text, '{NUM_RE}') THEN spelled
        ELSE value_text END AS canonical
 FROM (SELECT *, CAST(TRY_CAST(value_text AS DOUBLE) AS VARCHAR) AS spelled
