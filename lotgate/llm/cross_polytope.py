@@ -12,9 +12,9 @@ Method
   *cross-polytope hash* of a rotated vector is its nearest signed axis.
 * A table's bucket joins ``k`` such hashes; k grows with the number of classes
   so that a bucket of unrelated vectors stays small. *Multiprobe*: besides its
-  own bucket a vector enters those next nearest (the axes that lose least).
-* Classes that meet in a bucket of any of the *tables* are candidate pairs; a
-  pair is verified once, on the vectors themselves, so no false link remains.
+  own bucket a vector probes those next nearest (the axes that lose least).
+* Classes that meet in the own bucket of one of them, in any of the *tables*, are
+  candidate pairs; a pair is verified once, on the vectors themselves, so no false link remains.
   Every class is hashed in every table, and no bucket is capped: the pairs of a
   large bucket are spread over tasks by a grid of its members.
 
@@ -119,18 +119,23 @@ def _buckets(k: int, tables: int, count: int):
                     key = probes(padded, table, k, count)
                     place = mix(mix(label[rows] + np.uint64(table << 40)) + np.uint64(size))
                     key = mix(key + place[:, None])
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(key.reshape(-1))), pa.array(np.repeat(rep[rows], key.shape[1]))], ["bucket", "rep"])
+                    own = np.zeros(key.shape, bool)
+                    own[:, 0] = True
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(key.reshape(-1))), pa.array(np.repeat(rep[rows], key.shape[1])),
+                                                      pa.array(own.reshape(-1))], ["bucket", "rep", "own"])
     return run
 
 
 def _pairs(batches):
-    """All pairs of the buckets in a task, whose rows come sorted by (bucket,
-    i, j); in a grid cell with i < j, pairs across the two chunks."""
+    """Pairs of the buckets in a task with one member at least in its own
+    bucket. Rows come sorted by (bucket, i, j); in a grid cell with i < j, pairs
+    across the two chunks."""
     held: list[pa.RecordBatch] = []
 
     def pairs(table: pa.Table):
         cell = np.stack([table[c].to_numpy() for c in ("bucket", "i", "j")], 1)
         chunk, rep = table["chunk"].to_numpy(), table["rep"].to_numpy()
+        own = table["own"].to_numpy()
         last = np.append(np.flatnonzero((cell[1:] != cell[:-1]).any(1)), len(cell) - 1)
         later = last[np.searchsorted(last, np.arange(len(cell)))] - np.arange(len(cell))
         begin = 0
@@ -139,7 +144,7 @@ def _pairs(batches):
             n = later[begin:end]
             x = np.repeat(np.arange(begin, end), n)
             y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
-            ok = (rep[x] != rep[y]) & ((cell[x, 1] == cell[x, 2]) | (chunk[x] != chunk[y]))
+            ok = (own[x] | own[y]) & (rep[x] != rep[y]) & ((cell[x, 1] == cell[x, 2]) | (chunk[x] != chunk[y]))
             a, b = rep[x[ok]], rep[y[ok]]
             found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
@@ -199,11 +204,11 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLE
     k = 1
     while (2 * width) ** k * BUCKET_ROWS < n:
         k += 1
-    buckets, _ = keep(classes.select("rep", "label", "embedding").mapInArrow(_buckets(k, tables, probes_), "bucket long, rep long"), "vector_buckets")
+    buckets, _ = keep(classes.select("rep", "label", "embedding").mapInArrow(_buckets(k, tables, probes_), "bucket long, rep long, own boolean"), "vector_buckets")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", (F.col("n") / GRID).cast("int").alias("last"))
     grid = (buckets.join(shared, "bucket").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("last") + 1).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-            .select("bucket", "rep", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")))
+            .select("bucket", "rep", "own", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")))
     pairs = (grid.repartition(partitions_for(spark, n * tables * probes_ * 32), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
              .mapInArrow(_pairs, "a long, b long").distinct())
     side = classes.select("rep", "embedding")
