@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .blocks import column, mix, text_blocks
 from .features import hashed_grams, sliced, summed
+from .parity_join import bitmap_of, in_bitmap
 from .tables import keep
 
 BUCKETS = 1 << 16
@@ -28,16 +29,12 @@ ORDERS = (1, 2)
 SEED = 11
 
 
-def _count(buckets: int):
+def _count(buckets: int, name: str):
     def run(batches):
-        target, raw = np.zeros(buckets), np.zeros(buckets)
-        for batch, texts in text_blocks(batches):
-            doc, bucket = hashed_grams(texts, buckets, ORDERS, plain=False)
-            good = column(batch, "good").to_numpy(zero_copy_only=False).astype(bool)
-            raw += np.bincount(bucket, minlength=buckets)
-            target += np.bincount(bucket[good[doc]], minlength=buckets)
-        yield sliced(target, "target")
-        yield sliced(raw, "raw")
+        total = np.zeros(buckets)
+        for _, texts in text_blocks(batches):
+            total += np.bincount(hashed_grams(texts, buckets, ORDERS, plain=False)[1], minlength=buckets)
+        yield sliced(total, name)
     return run
 
 
@@ -100,8 +97,14 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
         share = marks.agg(F.avg("quality")).first()[0]
         share = 1.0 if share is None else share
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    marked = texts.join(marks.where("quality = 1").select("doc_id", F.lit(True).alias("good")), "doc_id", "left")
-    counts = summed(marked.select("text", F.coalesce("good", F.lit(False)).alias("good")).mapInArrow(_count(buckets), "name string, slice int, data binary"))
+    # Only good documents are shuffled to their labels: a bitmap of fixed size
+    # passes over the others in the scan.
+    good = marks.where("quality = 1").select("doc_id")
+    chosen = (texts.where("doc_id is not null").mapInArrow(in_bitmap(bitmap_of(good)), "doc_id long, text binary")
+              .hint("merge").join(good, "doc_id", "left_semi"))
+    vectors = "name string, slice int, data binary"
+    counts = summed(texts.select("text").mapInArrow(_count(buckets, "raw"), vectors)
+                    .unionByName(chosen.select("text").mapInArrow(_count(buckets, "target"), vectors)))
     target, raw = (counts.get(x, np.zeros(buckets)) + 1.0 for x in ("target", "raw"))
     ratio = spark.sparkContext.broadcast(np.log(target / target.sum()) - np.log(raw / raw.sum()))
     weighed, _ = keep(texts.mapInArrow(_weigh(ratio, buckets, seed), "doc_id long, n_grams long, log_importance double, key long"), "importance")

@@ -243,7 +243,7 @@ def _verify(n: int, percent: int):
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, str]:
     pairs, path = keep(pairs, "pairs")
     wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
-    screened = texts.where("doc_id is not null").mapInArrow(_in_bitmap(bitmap_of(wanted)), "doc_id long, text binary")
+    screened = texts.where("doc_id is not null").mapInArrow(in_bitmap(bitmap_of(wanted)), "doc_id long, text binary")
     texts, texts_path = keep(screened.hint("merge").join(wanted, "doc_id", "left_semi"), "pair_texts")
     links, links_path = keep(
         pairs.hint("merge").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -287,7 +287,8 @@ def bitmap_of(ids: DataFrame):
     return ids.sparkSession.sparkContext.broadcast(total.reshape(-1))
 
 
-def _in_bitmap(bitmap):
+def in_bitmap(bitmap):
+    """Rows whose doc_id may be among the ids of a bitmap."""
     def run(batches):
         bits = bitmap.value
         for batch in batches:
