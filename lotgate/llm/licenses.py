@@ -1,18 +1,24 @@
 """Licence scan by canonical digest lookup.
 
-A text is brought to a canonical form: ASCII lower case, copyright lines
-dropped, equivalent spellings made one, every run of marks and white space one
-space. Texts with equal canonical forms have equal SHA-256 digests, so known
+A text is brought to a canonical form: ASCII lower case, copyright statements
+(lines of 'copyright' with (c), © or a year) dropped, equivalent spellings made
+one, every run of marks and white space one space. Texts with equal canonical forms have equal SHA-256 digests, so known
 licences are found by a hash join on the digest of the *entire* text: no
 pattern is searched for. The unit is the whole document, and each of its lines
 (licence notices are lines of their own).
 
 The table of known digests is made from the texts below by the same canonical
-form; its size is fixed by them.
+form, with and without the licence's title and 'All rights reserved', and in
+each form that a wrapping of the lines can give; its size is fixed by them.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+import textwrap
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,12 +57,22 @@ WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEM
 COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
 OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }
+# Titles that may stand before a text.
+TITLES = {
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"],
+    "MIT": ["MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)"],
+}
+RIGHTS = "All rights reserved."
+WIDTHS = range(20, 201)
 # Spellings taken as one.
 SPELLINGS = [("licence", "license"), ("organisation", "organization"), ("authoris", "authoriz"), ("favour", "favor"),
              ("behaviour", "behavior"), ("colour", "color"), ("centre", "center"), ("fulfil ", "fulfill "), ("per cent", "percent"),
              ("copyright owner", "copyright holder"), ("non commercial", "noncommercial")]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT = "(^|\n)[ \t]*(copyright|\\(c\\)|©)[^\n]*"
+_SIGNS = "[\\x00-\\x09\\x0B\\x0C\\x0E-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F©]*"
+#: A copyright statement; read by Java and Python alike.
+STATEMENT = f"(?:copyright{_SIGNS}(?:\\(c\\)|©|[0-9]{{4}}|(?:year|yyyy|19xx|19yy)\\b)|\\(c\\){_SIGNS}[0-9]{{4}}|©)"
+COPYRIGHT = f"(^|[\n\r])[ \t]*{STATEMENT}[^\n\r]*"
 MARKS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F©]+"
 
 
@@ -69,11 +85,55 @@ def canonical(text: Column) -> Column:
     return F.btrim(out)
 
 
+def _folded(text: str) -> str:
+    """:func:`canonical` in Python, but for the spellings."""
+    out = re.sub(COPYRIGHT, "\n", text.translate(str.maketrans(_UPPER, _LOWER)))
+    return re.sub(MARKS, " ", out).strip(" ")
+
+
+def canonical_text(text: str) -> str:
+    """:func:`canonical` of a Python text."""
+    return _spelled([_folded(text)])
+
+
+def _spelled(pieces: list[str]) -> str:
+    out = f" {' '.join(x for x in pieces if x)} "
+    for one, other in SPELLINGS:
+        out = out.replace(one, other)
+    return out.strip(" ")
+
+
+def forms(text: str, titles: list[str] = ()) -> set[str]:
+    """The canonical forms of a text, one for each way to write it: with a title
+    or none, and with its paragraphs on lines of any width. A wrapping matters
+    only where a copyright statement may come to begin a line."""
+    paragraphs = [x.strip("\n") for x in re.split(r"\n[ \t\r]*\n", text) if x.strip()]
+    heads = [x for title in ("", *titles) for x in (_folded(title), _folded(f"{title} {RIGHTS}"))]
+    lines = [" ".join(x.split()) for x in paragraphs]
+    moving = [i for i, x in enumerate(lines) if re.search(STATEMENT, x.lower())]
+    fixed = [_folded(x) for x in lines]
+    kept = [re.sub(MARKS, " ", lines[i].translate(str.maketrans(_UPPER, _LOWER))).strip(" ") for i in moving]
+    layouts = {tuple(kept), tuple(_folded(paragraphs[i]) for i in moving), tuple(fixed[i] for i in moving)}
+    layouts |= {tuple(_folded(textwrap.fill(lines[i], width)) for i in moving) for width in WIDTHS if moving}
+    found = set()
+    for layout in layouts:
+        pieces = list(fixed)
+        for i, x in zip(moving, layout):
+            pieces[i] = x
+        found |= {_spelled([head, *pieces]) for head in heads}
+    return found
+
+
+@lru_cache
+def _known() -> list[tuple[str, str]]:
+    rows = {(spdx, canonical_text(text)) for spdx, texts in NOTICES.items() for text in texts}
+    rows |= {(spdx, form) for spdx, text in TEXTS.items() for form in forms(text, TITLES.get(spdx, []))}
+    return sorted({(hashlib.sha256(form.encode()).hexdigest(), spdx) for spdx, form in rows})
+
+
 def known_digests(spark: SparkSession) -> DataFrame:
     """(digest, licence) of the known texts, in canonical form."""
-    rows = [(spdx, text) for table in (NOTICES, {k: [v] for k, v in TEXTS.items()}) for spdx, texts in table.items() for text in texts]
-    frame = spark.createDataFrame(rows, "licence string, text string")
-    return frame.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "licence").distinct()
+    return spark.createDataFrame(_known(), "digest string, licence string")
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -86,15 +146,17 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     with equal doc_id get the lines of all of them; a null doc_id has no line
     licences. An empty table gives no rows.
     """
+    # The built-in table has a fixed size, so it is broadcast; a given one may be large.
+    small = F.broadcast if known is None else (lambda frame: frame)
     known = known_digests(docs.sparkSession) if known is None else known
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.sha2(canonical(text), 256).alias("digest"))
     found = (docs.select("doc_id", F.explode(F.split(text, "\n", -1)).alias("line"))
-             .select("doc_id", F.sha2(canonical(F.col("line")), 256).alias("digest")).join(known, "digest")
+             .select("doc_id", F.sha2(canonical(F.col("line")), 256).alias("digest")).join(small(known), "digest")
              .groupBy("doc_id").agg(F.count("*").alias("n_licence_lines"), F.array_join(F.sort_array(F.collect_set("licence")), " ").alias("line_licences")))
     found, _ = keep(found, "licence_lines")
     whole = known.withColumnRenamed("digest", "known_digest").groupBy("known_digest").agg(F.min("licence").alias("licence"))
-    return (rows.join(whole, F.col("digest") == F.col("known_digest"), "left").drop("known_digest")
+    return (rows.join(small(whole), F.col("digest") == F.col("known_digest"), "left").drop("known_digest")
             .join(found, "doc_id", "left")
             .select("doc_id", "digest", "licence", F.coalesce("n_licence_lines", F.lit(0)).cast("long").alias("n_licence_lines"),
                     F.coalesce("line_licences", F.lit("")).alias("line_licences")))

@@ -3,6 +3,8 @@
 import collections
 import itertools
 import math
+import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -274,6 +276,32 @@ def test_licence_digests(spark, docs, none):
     assert licenses.scan(docs).count() == len(corpus()) and licenses.scan(none).count() == 0
 
 
+def _wrapped(text, width, prefix=""):
+    """Each paragraph on lines of *width* columns (0: on one line)."""
+    paragraphs = [" ".join(x.split()) for x in re.split(r"\n[ \t]*\n", text) if x.strip()]
+    filled = [x if not width else textwrap.fill(x, width) for x in paragraphs]
+    return "\n".join(f"{prefix}{line}" for line in "\n\n".join(filled).split("\n"))
+
+
+def test_whole_licences_in_any_wrapping(spark):
+    """Each known text at several widths, with and without title and copyright lines."""
+    rows = []
+    for spdx, text in licenses.TEXTS.items():
+        for width in (0, 40, 60, 70, 72, 76, 78, 79, 80, 100, 120):
+            body = _wrapped(text, width)
+            heads = ["", "Copyright (c) 2020 Someone\n\n", "Copyright 1999-2004 A, B\n(C) 2020 C\n\u00a9 D\nAll rights reserved.\n\n"]
+            rows += [(spdx, title + head + body) for head in heads for title in ("", f"{spdx} License\n\n", f"The {spdx} License ({spdx})\n\n")]
+    rows += [(None, "Copyright law\n" + licenses.TEXTS["MIT"]), (None, licenses.TEXTS["MIT"].replace("COPYRIGHT HOLDERS", ""))]
+    got = licenses.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["licence"] for r in got} == {i: spdx for i, (spdx, _) in enumerate(rows)}
+
+
+def test_canonical_text_in_python_and_spark(spark):
+    texts = [t for r in corpus() if (t := r[1])] + [*licenses.TEXTS.values(), "x\r\n (C) 2001 me\r\ncopyright owner", "copyright\nCopyright [yyyy] x\nau\n\u00a9"]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select(licenses.canonical(F.col("text"))).collect()
+    assert [r[0] for r in got] == [licenses.canonical_text(t) for t in texts]
+
+
 # -- op8 ---------------------------------------------------------------------
 
 def test_resampling_prefers_the_target(spark, docs, none, labels):
