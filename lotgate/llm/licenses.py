@@ -2,13 +2,15 @@
 
 A text is brought to a canonical form: ASCII lower case, copyright statements
 (lines of 'copyright' with (c), © or a year) dropped, equivalent spellings made
-one, every run of marks and white space one space. Texts with equal canonical forms have equal SHA-256 digests, so known
+one, every run of marks (typographic ones too, so comment signs as well) and
+white space one space. Texts with equal canonical forms have equal SHA-256 digests, so known
 licences are found by a hash join on the digest of the *entire* text: no
 pattern is searched for. The unit is the whole document, and each of its lines
 (licence notices are lines of their own).
 
-The table of known digests is made from the texts below by the same canonical
-form, with and without the licence's title and 'All rights reserved', and in
+The table of known digests is made from the notices and texts below and the
+whole texts in ``licence_texts`` by the same canonical form, with and without the
+licence's title, 'All rights reserved' and the appendix after its terms, and in
 each form that a wrapping of the lines can give; its size is fixed by them.
 """
 
@@ -18,6 +20,7 @@ import hashlib
 import re
 import textwrap
 from functools import lru_cache
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,25 +64,53 @@ OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
 TITLES = {
     "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"],
     "MIT": ["MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)"],
+    "0BSD": ["BSD Zero Clause License", "Zero Clause BSD License", "Zero-Clause BSD", "0BSD License"],
+    "Apache-2.0": ["Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+                   "Apache License Version 2.0, January 2004 https://www.apache.org/licenses/", "Apache License Version 2.0, January 2004"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License", "Simplified BSD License", "BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License", "BSD License"],
+    "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003"],
+    "CC-BY-SA-4.0": ["Attribution-ShareAlike 4.0 International", "Creative Commons Attribution-ShareAlike 4.0 International"],
+    "CC0-1.0": ["Creative Commons Legal Code CC0 1.0 Universal", "CC0 1.0 Universal"],
+    "GFDL-1.2-only": ["GNU Free Documentation License Version 1.2, November 2002"],
+    "GFDL-1.3-only": ["GNU Free Documentation License Version 1.3, 3 November 2008"],
+    "GPL-1.0-only": ["GNU GENERAL PUBLIC LICENSE Version 1, February 1989"],
+    "GPL-2.0-only": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-3.0-only": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL-2.0-only": ["GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "LGPL-2.1-only": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-3.0-only": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "MPL-1.1": ["Mozilla Public License Version 1.1"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
+    "OFL-1.1": ["SIL OPEN FONT LICENSE Version 1.1 - 26 February 2007"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+    "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License"],
 }
 RIGHTS = "All rights reserved."
-WIDTHS = range(20, 201)
+WIDTHS = range(20, 141)
+#: The terms end here; what follows says how to apply them.
+END = "END OF TERMS AND CONDITIONS"
+#: Texts whose clauses are numbered or not.
+CLAUSES = ["BSD-2-Clause", "BSD-3-Clause", "Zlib"]
 # Spellings taken as one.
 SPELLINGS = [("licence", "license"), ("organisation", "organization"), ("authoris", "authoriz"), ("favour", "favor"),
              ("behaviour", "behavior"), ("colour", "color"), ("centre", "center"), ("fulfil ", "fulfill "), ("per cent", "percent"),
              ("copyright owner", "copyright holder"), ("non commercial", "noncommercial")]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_SIGNS = "[\\x00-\\x09\\x0B\\x0C\\x0E-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F©]*"
+_TYPOGRAPHIC = ("\\u00A0\\u00A1\\u00A7\\u00AB\\u00B6\\u00B7\\u00BB\\u00BF\\u2000-\\u206F\\u3000-\\u3003\\u3008-\\u3011"
+                "\\uFEFF\\uFF01-\\uFF0F\\uFF1A-\\uFF20")
+_SIGNS = f"[\\x00-\\x09\\x0B\\x0C\\x0E-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F©{_TYPOGRAPHIC}]*"
 #: A copyright statement; read by Java and Python alike.
 STATEMENT = f"(?:copyright{_SIGNS}(?:\\(c\\)|©|[0-9]{{4}}|(?:year|yyyy|19xx|19yy)\\b)|\\(c\\){_SIGNS}[0-9]{{4}}|©)"
-COPYRIGHT = f"(^|[\n\r])[ \t]*{STATEMENT}[^\n\r]*"
+COPYRIGHT = f"(^|[\n\r]){_SIGNS}{STATEMENT}[^\n\r]*"
 MARKS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F©]+"
+FOLDED = f"{MARKS[:-2]}{_TYPOGRAPHIC}]+"
 
 
 def canonical(text: Column) -> Column:
     """The canonical form; null stays null."""
     out = F.regexp_replace(F.translate(text, _UPPER, _LOWER), COPYRIGHT, "\n")
-    out = F.concat(F.lit(" "), F.regexp_replace(out, MARKS, " "), F.lit(" "))
+    out = F.concat(F.lit(" "), F.regexp_replace(out, FOLDED, " "), F.lit(" "))
     for one, other in SPELLINGS:
         out = F.replace(out, F.lit(one), F.lit(other))
     return F.btrim(out)
@@ -88,7 +119,7 @@ def canonical(text: Column) -> Column:
 def _folded(text: str) -> str:
     """:func:`canonical` in Python, but for the spellings."""
     out = re.sub(COPYRIGHT, "\n", text.translate(str.maketrans(_UPPER, _LOWER)))
-    return re.sub(MARKS, " ", out).strip(" ")
+    return re.sub(FOLDED, " ", out).strip(" ")
 
 
 def canonical_text(text: str) -> str:
@@ -103,31 +134,58 @@ def _spelled(pieces: list[str]) -> str:
     return out.strip(" ")
 
 
+@lru_cache(None)
+def _layouts(paragraph: str) -> list[str]:
+    """The folded forms of a paragraph that holds a copyright statement: nothing
+    dropped, as it stands, on one line, without the address of the publisher,
+    and on lines of each of WIDTHS."""
+    line = " ".join(paragraph.split())
+    bare = re.sub(FOLDED, " ", line.translate(str.maketrans(_UPPER, _LOWER))).strip(" ")
+    public = line.find("Everyone is permitted")
+    return [bare, _folded(paragraph), _folded(line), _folded(line[public:]) if public > 0 else _folded(line),
+            *(_folded(textwrap.fill(line, width)) for width in WIDTHS)]
+
+
 def forms(text: str, titles: list[str] = ()) -> set[str]:
     """The canonical forms of a text, one for each way to write it: with a title
     or none, and with its paragraphs on lines of any width. A wrapping matters
     only where a copyright statement may come to begin a line."""
     paragraphs = [x.strip("\n") for x in re.split(r"\n[ \t\r]*\n", text) if x.strip()]
-    heads = [x for title in ("", *titles) for x in (_folded(title), _folded(f"{title} {RIGHTS}"))]
-    lines = [" ".join(x.split()) for x in paragraphs]
-    moving = [i for i, x in enumerate(lines) if re.search(STATEMENT, x.lower())]
-    fixed = [_folded(x) for x in lines]
-    kept = [re.sub(MARKS, " ", lines[i].translate(str.maketrans(_UPPER, _LOWER))).strip(" ") for i in moving]
-    layouts = {tuple(kept), tuple(_folded(paragraphs[i]) for i in moving), tuple(fixed[i] for i in moving)}
-    layouts |= {tuple(_folded(textwrap.fill(lines[i], width)) for i in moving) for width in WIDTHS if moving}
+    own = re.match(COPYRIGHT, paragraphs[0].lower()) if paragraphs else None
+    heads = {_folded(x) for title in ("", *titles) for x in (title, title if own else f"{title} {RIGHTS}")}
+    moving = [i for i, x in enumerate(paragraphs) if re.search(STATEMENT, " ".join(x.lower().split()))]
+    pieces = [_folded(x) for x in paragraphs]
     found = set()
-    for layout in layouts:
-        pieces = list(fixed)
+    for layout in set(zip(*(_layouts(paragraphs[i]) for i in moving))) or {()}:
         for i, x in zip(moving, layout):
             pieces[i] = x
         found |= {_spelled([head, *pieces]) for head in heads}
     return found
 
 
+def versions(spdx: str, text: str) -> set[str]:
+    """A text with and without what comes after its terms, with either scheme in
+    its links, with and without the numbers of its clauses."""
+    found = {text}
+    if END in text:
+        terms = text[:text.index(END)]
+        found |= {terms, terms + END}
+    if spdx in CLAUSES:
+        found |= {re.sub(r"(?m)^[ \t]*[0-9][.] ", "", x) for x in found}
+    return found | {x.replace("https://", "http://") for x in found} | {x.replace("https://", "http://").replace("http://", "https://") for x in found}
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(SPDX identifier, text) of the whole texts; a file's name is the
+    identifier, and a number where a text has been published in several versions."""
+    files = sorted((x.name, x.read_text("utf-8")) for x in (resources.files(__package__) / "licence_texts").iterdir() if x.name.endswith(".txt"))
+    return [*TEXTS.items(), *((name[:-4].split("~")[0], text) for name, text in files)]
+
+
 @lru_cache
 def _known() -> list[tuple[str, str]]:
     rows = {(spdx, canonical_text(text)) for spdx, texts in NOTICES.items() for text in texts}
-    rows |= {(spdx, form) for spdx, text in TEXTS.items() for form in forms(text, TITLES.get(spdx, []))}
+    rows |= {(spdx, form) for spdx, text in whole_texts() for version in versions(spdx, text) for form in forms(version, TITLES.get(spdx, []))}
     return sorted({(hashlib.sha256(form.encode()).hexdigest(), spdx) for spdx, form in rows})
 
 

@@ -296,8 +296,35 @@ def test_whole_licences_in_any_wrapping(spark):
     assert {r["doc_id"]: r["licence"] for r in got} == {i: spdx for i, (spdx, _) in enumerate(rows)}
 
 
+def test_whole_texts_of_common_licences(spark):
+    """Every stored text, wrapped, titled, in comments and in typographic marks."""
+    texts = licenses.whole_texts()
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "Unlicense",
+            "CC0-1.0", "MIT", "ISC"} <= {spdx for spdx, _ in texts}
+    typographic = str.maketrans({"'": "\u2019", '"': "\u201d", "-": "\u2013", " ": "\u00a0"})
+    rows = []
+    for spdx, text in texts:
+        title = licenses.TITLES[spdx][0] + "\n\n"
+        rows += [(spdx, x) for x in (text, title + text, title.upper() + _wrapped(text, 0), text.replace("\n", "\r\n"), text.translate(typographic),
+                                     "# Copyright 2020 X\n#\n" + _wrapped(title + text, 77, "# "), "/*\n * Copyright (c) X\n *\n" + _wrapped(text, 70, " * ") + "\n */")]
+        rows += [(spdx, _wrapped(text, width)) for width in (60, 65, 72, 76, 79, 80, 100)]
+        rows.append((None, title + text + "\nand more"))
+    apache = dict(texts)["Apache-2.0"]
+    rows += [("Apache-2.0", apache[:apache.index("APPENDIX")]), (None, apache.replace("(c) You must retain", "You must retain"))]
+    got = licenses.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")).collect()
+    wrong = [(spdx, rows[r["doc_id"]][1][:60]) for r in got if r["licence"] != (spdx := rows[r["doc_id"]][0])]
+    assert len(got) == len(rows) and not wrong
+
+
+def test_notice_in_typographic_marks(spark):
+    rows = [(1, "// \u201cLicensed under the MIT License.\u201d"), (2, "Licensed under CC BY\u2011NC\u00a04.0")]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["line_licences"]) for r in got) == [(1, "MIT"), (2, "CC-BY-NC-4.0")]
+
+
 def test_canonical_text_in_python_and_spark(spark):
-    texts = [t for r in corpus() if (t := r[1])] + [*licenses.TEXTS.values(), "x\r\n (C) 2001 me\r\ncopyright owner", "copyright\nCopyright [yyyy] x\nau\n\u00a9"]
+    texts = [t for r in corpus() if (t := r[1])] + [*licenses.TEXTS.values(), "x\r\n (C) 2001 me\r\ncopyright owner", "copyright\nCopyright [yyyy] x\nau\n\u00a9", "# \u00a9 x\n * Copyright \u2013 2020\n\u00abq\u00bb \u2026",
+                                                                     *(t for _, t in licenses.whole_texts())]
     got = spark.createDataFrame([(t,) for t in texts], "text string").select(licenses.canonical(F.col("text"))).collect()
     assert [r[0] for r in got] == [licenses.canonical_text(t) for t in texts]
 
