@@ -64,27 +64,36 @@ def _repeated_words(words: Column) -> Column:
     def packed(hashes):  # the high bits of the hash, then the position
         entry = F.transform(hashes, lambda h, i: F.shiftleft(F.shiftright(h, _PLACE_BITS), _PLACE_BITS).bitwiseOR(i.cast("long")))
 
-        def places(order):
-            def at(x):
-                return x.bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")
+        def bits(x):
+            return F.shiftright(x, _PLACE_BITS)
+
+        def at(x):
+            return x.bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")
 
-            def same(x, other):  # equal high bits first, then the whole hash
-                return (F.shiftright(x, _PLACE_BITS) == F.shiftright(other, _PLACE_BITS)) & (F.get(hashes, at(x)) == F.get(hashes, at(other)))
-            again = F.filter(order, lambda x, j: F.coalesce(same(x, F.get(order, j + 1)), F.lit(False))
-                             | F.coalesce(same(x, F.get(order, j - 1)), F.lit(False)))
-            return F.sort_array(F.transform(again, at))
-        return _let(F.sort_array(entry), places)
+        def settled(found):  # whole runs of equal high bits; a run may hold different windows
+            mixed = F.filter(found, lambda x, j: F.coalesce((bits(x) == bits(F.get(found, j + 1))) & (
+                F.get(hashes, at(x)) != F.get(hashes, at(F.get(found, j + 1)))), F.lit(False)))
+            pairs = F.transform(found, lambda x: F.struct(F.get(hashes, at(x)).alias("h"), at(x).alias("i")))
+            return F.when(F.size(mixed) > 0, paired(pairs)).otherwise(F.sort_array(F.transform(found, at)))
 
-    def paired(hashes):
+        def runs(order):
+            return F.filter(order, lambda x, j: F.coalesce(bits(x) == bits(F.get(order, j + 1)), F.lit(False))
+                            | F.coalesce(bits(x) == bits(F.get(order, j - 1)), F.lit(False)))
+        return _let(_let(F.sort_array(entry), runs), settled)
+
+    def paired(pairs):  # (hash, position)
         def places(order):
             again = F.filter(order, lambda x, j: F.coalesce(x["h"] == F.get(order, j + 1)["h"], F.lit(False))
                              | F.coalesce(x["h"] == F.get(order, j - 1)["h"], F.lit(False)))
             return F.sort_array(F.transform(again, lambda x: x["i"]))
-        return _let(F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), places)
+        return _let(F.sort_array(pairs), places)
+
+    def whole(hashes):
+        return paired(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
     hashes = F.transform(F.sequence(F.lit(0), n - 3), window)
     count = _let(hashes, lambda h: _let(
-        F.when(F.size(h) < (1 << _PLACE_BITS), packed(h)).otherwise(paired(h)), covered))
+        F.when(F.size(h) < (1 << _PLACE_BITS), packed(h)).otherwise(whole(h)), covered))
     return F.when(n >= 4, count).otherwise(F.lit(0).cast("long"))
 
 

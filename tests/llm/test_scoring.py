@@ -120,6 +120,13 @@ def brute_counts(text):
     return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(again))
 
 
+def test_repeats_of_windows_that_share_hash_bits(spark, docs, monkeypatch):
+    """With four bits of the hash beside the position, different windows lie between equal ones."""
+    monkeypatch.setattr(risk_rules, "_PLACE_BITS", 60)
+    got = risk_rules.base_counts(docs.select("doc_id", "text", F.lit("").alias("stratum"))).select("doc_id", "n_repeat_words").collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter((r[0], brute_counts(r[1])[4]) for r in corpus())
+
+
 def test_base_counts_match_plain_python(spark, docs, none, labels):
     got = risk_rules.judge(docs, labels).collect()
     expected = collections.Counter()
