@@ -10,8 +10,9 @@ Method
 * A *fast rotation* multiplies by random signs and applies the fast Hadamard
   transform, three times over, on the vector padded to a power of two. The
   *cross-polytope hash* of a rotated vector is its nearest signed axis.
-* A table's bucket joins ``k`` such hashes; k grows with the number of classes
-  so that a bucket of unrelated vectors stays small. *Multiprobe*: besides its
+* A table's bucket joins ``k`` such hashes; k grows with the classes of the
+  largest label so that a bucket of unrelated vectors stays small, and the number
+  of tables with k so that the recall of a pair at the threshold stays. *Multiprobe*: besides its
   own bucket a vector probes those next nearest (the axes that lose least).
 * Classes that meet in the own bucket of one of them, in any of the *tables*, are
   candidate pairs; a pair is verified once, on the vectors themselves, so no false link remains.
@@ -35,6 +36,7 @@ from .tables import keep, partitions_for
 
 COSINE = 0.93
 TABLES = 10
+RECALL = 0.995
 PROBES = 6
 BUCKET_ROWS = 4
 GRID = 4096
@@ -89,6 +91,24 @@ def probes(x: np.ndarray, table: int, k: int, count: int) -> np.ndarray:
     return np.stack(out, 1)
 
 
+def tables_for(k: int, width: int, cosine: float, count: int, least: int = TABLES) -> int:
+    """Tables, *least* or more, in which a pair of vectors of *width* components
+    and exactly that cosine meets with probability RECALL: the chance of one
+    table is measured on seeded random pairs."""
+    d, tries = 1 << max(0, (width - 1).bit_length()), 4
+    rng = np.random.Generator(np.random.PCG64([_SEED, k, d]))
+    x, z = (rng.standard_normal((min(2048, max(256, (1 << 17) // d)), d)) for _ in range(2))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.maximum(np.sqrt((z * z).sum(1, keepdims=True)), 1e-12)
+    y = cosine * x + np.sqrt(max(0.0, 1 - cosine * cosine)) * z
+    met = 0.0
+    for table in range(tries):
+        a, b = probes(x, table, k, count), probes(y, table, k, count)
+        met += ((a[:, :1] == b).any(1) | (a == b[:, :1]).any(1)).mean() / tries
+    return max(least, int(np.ceil(np.log(1 - RECALL) / np.log1p(-min(max(met, 1e-3), 0.999)))))
+
+
 def _matrix(values: pa.Array) -> np.ndarray:
     """Rows of equal length as unit vectors in double precision, padded."""
     flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
@@ -177,7 +197,8 @@ def _verify(cosine: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, probes_: int = PROBES) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, probes_: int = PROBES,
+                 k: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of *vectors* (vec_id,
     embedding, label).
 
@@ -186,7 +207,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLE
     with each other. Rows with a null vec_id are counted as links but have a
     null component unless others are in it, and are not kept. Rows with equal
     vec_id are copies of one vector id, counted each. Vectors of different
-    length never link. An empty table gives no rows.
+    length never link. An empty table gives no rows. *tables* is the least
+    number of tables; *k* is chosen from the table unless it is given.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"),
@@ -199,11 +221,14 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLE
     # that its least id and content fix.
     classes, _ = keep(rows.where("good").groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
                       .withColumn("rep", F.xxhash64("label", "embedding")), "vector_classes")
-    n = classes.count()
-    width = classes.select(F.max(F.size("embedding"))).first()[0] or 1
-    k = 1
-    while (2 * width) ** k * BUCKET_ROWS < n:
-        k += 1
+    n, most, width = classes.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("width")).agg(
+        F.sum("n"), F.max("n"), F.max("width")).first()
+    n, most, width = n or 0, most or 0, width or 1
+    if k is None:
+        k = 1
+        while (2 * width) ** k * BUCKET_ROWS < most:
+            k += 1
+    tables = tables_for(k, width, cosine, probes_, tables)
     buckets, _ = keep(classes.select("rep", "label", "embedding").mapInArrow(_buckets(k, tables, probes_), "bucket long, rep long, own boolean"), "vector_buckets")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", (F.col("n") / GRID).cast("int").alias("last"))
     grid = (buckets.join(shared, "bucket").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("last") + 1).cast("int"))

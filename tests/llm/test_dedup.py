@@ -223,6 +223,19 @@ def test_vectors_match_brute_force(spark):
     assert sum(g != e for g, e in zip(got, expected)) <= 0.05 * len(rows)
 
 
+@pytest.mark.parametrize("k", [4, 5])
+def test_vectors_at_the_threshold_with_many_hashes(spark, k):
+    """Pairs at the threshold itself, hashed as in a very large table."""
+    rng = np.random.default_rng(k)
+    x, z = rng.standard_normal((2, 800, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = 0.9301 * x + np.sqrt(1 - 0.9301 ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([x, y]))]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), k=k)
+    assert got.where("n_links > 0").count() >= 0.985 * len(rows)
+
+
 def test_vectors_edge_rows(spark):
     schema = "vec_id long, embedding array<float>, label int, rep string, component string"
     assert near_vectors(spark.createDataFrame([], schema)).count() == 0
