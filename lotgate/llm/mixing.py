@@ -114,7 +114,7 @@ def repeat(docs: DataFrame, weights: list[float] = WEIGHTS, max_epochs: int = MA
 
 def _leading_words(text: Column, n: Column) -> Column:
     """The text up to its n-th word."""
-    pieces = F.split(F.regexp_replace(text, r"([^\x20\x09-\x0D])([\x20\x09-\x0D])", "$1\u0000$2"), "\u0000")
+    pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
 
 

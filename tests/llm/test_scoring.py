@@ -269,6 +269,13 @@ def test_targets_of_odd_tables(spark):
         assert got == pytest.approx(expected)
 
 
+def test_cut_document_with_nul_characters(spark):
+    text = "a\0b c\0 \0 d\0\0e  f g"
+    got = spark.createDataFrame([(text, n) for n in range(1, 7)], "text string, n long").select(
+        "n", mixing._leading_words(F.col("text"), F.col("n")).alias("part")).collect()
+    assert {r["n"]: r["part"] for r in got} == {1: "a\0b", 2: "a\0b c\0", 3: "a\0b c\0 \0", 4: "a\0b c\0 \0 d\0\0e", 5: "a\0b c\0 \0 d\0\0e  f", 6: text}
+
+
 # -- op7 ---------------------------------------------------------------------
 
 def test_licence_digests(spark, docs, none):
