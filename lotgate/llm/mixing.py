@@ -96,12 +96,15 @@ def mix(docs: DataFrame, weights: list[float] = WEIGHTS, max_epochs: int = MAX_E
 
 def repeat(docs: DataFrame, weights: list[float] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mix itself, in the columns of *docs*: a row for each whole repetition
-    and one with the leading words for a part; ``n_chars`` follows the text."""
-    plan = (mix(docs, weights, max_epochs, seed).where("taken > 0")
+    and one with the leading words for a part; ``n_chars`` follows the text. A
+    document without words weighs nothing in the mix and passes once."""
+    plan = (mix(docs, weights, max_epochs, seed).where("taken > 0 or size = 0")
             .groupBy(F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_size")).agg(F.max("taken").alias("mix_taken")))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("mix_row"), word_count(F.col("text")).alias("mix_words"))
     joined = rows.join(plan, F.col("mix_row.doc_id").eqNullSafe(F.col("mix_id")) & (F.col("mix_words") == F.col("mix_size")))
-    whole, part = F.floor(F.col("mix_taken") / F.col("mix_size")).cast("int"), F.col("mix_taken") % F.col("mix_size")
+    size = F.greatest("mix_size", F.lit(1))
+    whole = F.when(F.col("mix_size") == 0, 1).otherwise(F.floor(F.col("mix_taken") / size)).cast("int")
+    part = F.col("mix_taken") % size
     copies = F.concat(F.array_repeat(F.lit(0).cast("long"), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
     text = F.col("mix_row.text")
     out = joined.withColumn("mix_copy", F.explode(copies)).withColumn(

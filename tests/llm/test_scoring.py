@@ -276,6 +276,13 @@ def test_cut_document_with_nul_characters(spark):
     assert {r["n"]: r["part"] for r in got} == {1: "a\0b", 2: "a\0b c\0", 3: "a\0b c\0 \0", 4: "a\0b c\0 \0 d\0\0e", 5: "a\0b c\0 \0 d\0\0e  f", 6: text}
 
 
+def test_mix_keeps_documents_without_words(spark):
+    rows = [(1, "a b c d", "x"), (2, "", "x"), (3, None, "x"), (4, " \n", "y"), (5, "e f", "y"), (None, None, None), (6, "", "z")]
+    got = mixing.repeat(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    wordless = sorted((r for r in rows if not words_of(r[1])), key=str)
+    assert sorted((tuple(r) for r in got if not words_of(r["text"])), key=str) == wordless
+
+
 # -- op7 ---------------------------------------------------------------------
 
 def test_licence_digests(spark, docs, none):
