@@ -136,7 +136,7 @@ def severity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, buckets:
     severity is the expected grade, grade the likeliest, p_toxic the
     probability of any grade above 0. A null text has no words and gets the
     base rate; null ids, grades or labels train nothing; of repeated labels of
-    a document the highest counts. Equal texts get equal results. Without
+    a document the highest counts, and rows with equal doc_id train as one. Equal texts get equal results. Without
     labels every text gets the same low severity. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -144,9 +144,11 @@ def severity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, buckets:
     given = (labels.select("doc_id", F.col("grade" if graded else "toxic").cast("int").alias("grade")).dropna()
              .groupBy("doc_id").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    # The sample is bounded by its parameter, so it is broadcast to the scan.
+    # The sample is bounded by its parameter, so it is broadcast to the scan; of
+    # the rows of an id that text stays whose hash is least.
     rows = (texts.join(F.broadcast(given.withColumn("doc_id", F.col("doc_id").cast("long"))), "doc_id")
-            .mapInArrow(_features(buckets), "doc_id long, grade int, buckets binary, values binary").collect())
+            .groupBy("doc_id", "grade").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+            .select("doc_id", "grade", "least.text").mapInArrow(_features(buckets), "doc_id long, grade int, buckets binary, values binary").collect())
     rows.sort(key=lambda r: (r["doc_id"], r["buckets"]))
     found = [np.frombuffer(r["buckets"], np.int32).astype(np.int64) for r in rows]
     grade = np.array([r["grade"] for r in rows], np.int64)

@@ -55,6 +55,16 @@ def test_severity_edge_rows(spark, docs, none, labels):
     assert ordinal_toxicity.severity(docs, toxic.limit(0)).agg(F.countDistinct("severity")).first()[0] == 1
 
 
+def test_sample_holds_one_row_of_a_repeated_id(spark, monkeypatch):
+    """A labelled id on many rows trains as one document."""
+    rows = [(i, f"plain words number {i % 7} {'vile' if i % 3 == 0 else 'kind'}") for i in range(60)] + [(0, f"copy {i} of vile text") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    fitted, fit = [], ordinal_toxicity.fit
+    monkeypatch.setattr(ordinal_toxicity, "fit", lambda doc, bucket, value, grade, buckets: fitted.append(len(grade)) or fit(doc, bucket, value, grade, buckets))
+    assert ordinal_toxicity.severity(docs, labels, sample=50).count() == len(rows) and fitted == [50]
+
+
 # -- op2 ---------------------------------------------------------------------
 
 def test_lattice_sums_all_segmentations():
