@@ -4,13 +4,18 @@ has the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import importance, lattice_lm, licenses, mixing, ordinal_toxicity, packing, risk_rules
 from .cross_polytope import near_vectors
 from .parity_join import near_duplicates
+from .periodic import periodic_runs
+from .personal import BASE, personal_spans
 from .suffix_dedup import remove_repeats
+from .whitening import whiten
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +90,56 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digests(_documents(spark, sf_dir))
 
 
+def _planted(words: list[bytes], row: dict) -> list[bytes]:
+    """The contract's texts: a tenth of them repeat their words from some word on."""
+    h = zlib.crc32(str(row["doc_id"]).encode()) if row["doc_id"] is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and digests of them and of the
+    text without their repeats (a null doc_id leaves the words as they are)."""
+    found = periodic_runs(_documents(spark, sf_dir).select("doc_id", "text"), min_length=12, rewrite=_planted)
+    longest = F.array_sort("runs", lambda a, b: F.when(a["length"] != b["length"], F.signum(b["length"] - a["length"]).cast("int"))
+                           .when(a["start"] != b["start"], F.signum(a["start"] - b["start"]).cast("int"))
+                           .otherwise(F.signum(a["period"] - b["period"]).cast("int")))
+    found = found.withColumn("longest", F.get(longest, F.lit(0)))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]).alias("x")), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return found.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector on the first 16 components (a
+    deviation beyond 63 bits, which contracts to a long, is null)."""
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=16).withColumn(
+        "deviation", F.expr("try_cast(deviation as long)"))
+
+
+def op13_personal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base kinds,
+    and all spans."""
+    found = personal_spans(_documents(spark, sf_dir).select("doc_id", "text"))
+
+    def of_kind(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    return found.select(
+        "row.doc_id", *map(of_kind, BASE),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_ordinal_toxicity": op1_ordinal_toxicity,
     "op2_subword_lattice": op2_subword_lattice,
@@ -96,6 +151,9 @@ QUERIES = {
     "op8_importance_resampling": op8_importance_resampling,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_personal_spans": op13_personal_spans,
 }
 
 ORACLE: dict[str, str] = {

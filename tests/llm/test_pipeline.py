@@ -51,7 +51,7 @@ def test_stages(spark):
 
 def test_registered_names():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert names["pipeline"] is corpus_pipeline.run and "pipeline" not in entry.oracle_sql()
 
 
