@@ -147,7 +147,7 @@ def _triangle_of(fit: DataFrame, n: int, sums: list[int]) -> np.ndarray:
     level, _ = keep(fit.mapInArrow(_folded(n, sums), "bin long, r binary"), "whitening_r")
     bins = level.agg(F.max("bin")).first()[0] + 1
     while bins > 1:
-        level = level.groupBy(F.floor(F.col("bin") / FAN).alias("bin")).applyInArrow(_merged(width), "bin long, r binary")
+        level = level.withColumn("bin", F.floor(F.col("bin") / FAN)).groupBy("bin").applyInArrow(_merged(width), "bin long, r binary")
         bins = -(-bins // FAN)
     return np.frombuffer(level.first()["r"]).reshape(width, width)
 

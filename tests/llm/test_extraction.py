@@ -225,15 +225,16 @@ def test_whitening_edge_cases(spark, monkeypatch):
     assert len(short) == 6
     huge = rows([[1e30, 0.0], [-1e30, 1.0], [5.0, 7.0]])
     assert max(int(r["deviation"]) for r in huge) > 1 << 63 and all(math.isfinite(r["whitened"]) for r in huge)
-    # A triangle for each of many tasks is folded in several levels.
+
+
+def test_triangles_of_many_tasks_are_folded_level_by_level(spark, monkeypatch):
     monkeypatch.setattr(whitening, "FAN", 2)
-    rng = np.random.default_rng(4)
-    vectors = [[float(x) for x in v] for v in rng.standard_normal((300, 6))]
-    frame = spark.createDataFrame([(i, v, 1, "x", 5) for i, v in enumerate(vectors)], VECTORS).repartition(7)
-    got = {(r["vec_id"], r["component"]): r["whitened"] for r in whitening.whiten(frame).collect()}
-    assert len(got) == 300 * 6
-    w = np.array([[got[i, c] for c in range(1, 7)] for i in range(300)])
-    assert np.allclose(w.T @ w / 300, np.eye(6), atol=1e-9)
+    x = np.random.default_rng(4).integers(-1000, 1000, (300, 6))
+    sums = x.sum(0).tolist()
+    frame = spark.createDataFrame([(r.astype("<i4").tobytes(),) for r in x], "x binary").repartition(7)
+    triangle = whitening._triangle_of(frame, 300, sums)
+    centred = x - np.array(sums) / 300
+    assert np.allclose(triangle, np.triu(triangle)) and np.allclose(triangle.T @ triangle, centred.T @ centred)
 
 
 def test_whitening_query_columns(spark):
