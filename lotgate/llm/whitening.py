@@ -21,6 +21,7 @@ the whitened fit list is then measured, as a check on the result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from decimal import Decimal
 
 import numpy as np
@@ -133,7 +134,7 @@ def _folded(n: int, sums: list[int]):
 
 
 def _merged(width: int):
-    def run(key, batches):
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = np.zeros((0, width))
         for batch in batches:
             for data in column(batch, "r").to_pylist():
