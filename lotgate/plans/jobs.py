@@ -56,7 +56,7 @@ class ValidationRun:
 
 
 def batch_validation(spark: SparkSession, root: str, upload_folder: str,
-                     run_ts: Column | None = None, multiline: bool = True) -> ValidationRun:
+                     run_ts: Column | None = None, multiline: bool = False) -> ValidationRun:
     """Validate every ``*.csv`` in *upload_folder* (the folder is re-read on
     every run, as the uploads are never moved); publish audit and staging."""
     store = ModelStore(root, spark)
