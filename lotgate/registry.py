@@ -36,7 +36,7 @@ from lotgate.plans.publish import ModelStore
 from lotgate.plans.validate import stage_raw, validate_uploads
 from lotgate.schemas import REQUIRED_COLUMNS
 from lotgate.session import ensure_checkpoint_dir, materialize, scratch_path
-from lotgate.sources.uploads import read_history, read_uploads
+from lotgate.sources.uploads import discover_uploads, file_name, read_history, read_uploads
 from lotgate.streaming.intake import start_intake
 
 SUBMISSION = REQUIRED_COLUMNS + ["source_file"]
@@ -47,6 +47,16 @@ def _iso(c: str):
     return F.date_format(F.col(c), "yyyy-MM-dd").alias(c)
 
 
+def _note():
+    """A text with a delimiter, quotes and a line end, to be carried by CSV files."""
+    return F.concat(F.col("Parameter"), F.lit(', "'), F.col("Process"), F.lit('"\n'), F.coalesce("Value", F.lit(""))).alias("Note")
+
+
+def _write_csv(rows: DataFrame, folder: str) -> None:
+    (rows.write.mode("append").option("header", "true").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(folder))
+
+
 class State:
     """Lazily built, memoised state of one (session, data folder)."""
 
@@ -123,28 +133,25 @@ class State:
     def _write_uploads(self) -> str:
         """Write the upload as CSV files whose headers order columns differently."""
         folder = scratch_path(self.spark, "uploads")
-        up = self.upload.withColumn("Submission", F.col("source_file")).drop("source_file")
+        up = self.upload.withColumn("Submission", F.col("source_file")).drop("source_file").withColumn("Note", _note())
         orders = {
             "part_0.csv": ["Batch Name", "Process", "Manufacturer", "DoM", "Unit Operation",
-                           "Parameter", "Value", "Submission"],
-            "part_1.csv": list(reversed(REQUIRED_COLUMNS)) + ["Submission"],
+                           "Parameter", "Value", "Submission", "Note"],
+            "part_1.csv": ["Note"] + list(reversed(REQUIRED_COLUMNS)) + ["Submission"],
             "part_2.csv": ["Value", "Comment", "Parameter", "Unit Operation", "Process", "DoM",
-                           "Manufacturer", "Batch Name", "Submission"],
+                           "Manufacturer", "Note", "Batch Name", "Submission"],
         }
         for name, cols in orders.items():
             part = up.filter(F.col("Submission") == name).withColumn(
                 "Comment", F.concat(F.lit("from "), F.col("Submission")))
-            (part.select(*cols).write.mode("append")
-             .option("header", "true").option("ignoreLeadingWhiteSpace", "false")
-             .option("ignoreTrailingWhiteSpace", "false").csv(folder))
+            _write_csv(part.select(*cols), folder)
         return folder
 
     @property
     def history_csv(self) -> str:
         def build():
             path = scratch_path(self.spark, "history")
-            (self.hist.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
-             .option("ignoreTrailingWhiteSpace", "false").csv(path))
+            _write_csv(self.hist.withColumn("Note", _note()), path)
             return path
         return self._get("history_csv", build)
 
@@ -167,22 +174,30 @@ def check(name: str, sql: str | None):
 _SUB_SQL = '"Batch Name", "Manufacturer", "DoM", "Process", "Unit Operation", "Parameter", "Value", source_file'
 
 
+_NOTE_SQL = """"Parameter" || ', "' || "Process" || '"' || chr(10) || coalesce("Value", '') AS "Note\""""
+
+
 # Sources and sinks ---------------------------------------------------------
 
 @check("scan_flat", with_ctes(
-    'SELECT "Batch Name", "Manufacturer", "DoM", "Process", "Unit Operation", "Parameter", "Value" FROM hist',
+    f'SELECT "Batch Name", "Manufacturer", "DoM", "Process", "Unit Operation", "Parameter", "Value", {_NOTE_SQL} FROM hist',
     upto="hist"))
 def _scan_flat(st: State) -> DataFrame:
-    return read_history(st.spark, st.history_csv).select(*REQUIRED_COLUMNS)
+    return read_history(st.spark, st.history_csv).select(*REQUIRED_COLUMNS, "Note")
 
 
 @check("scan_uploads", with_ctes(
-    f"SELECT {_SUB_SQL.replace(', source_file', '')}, source_file AS submitted_file, TRUE AS file_is_csv FROM upload",
+    f"""SELECT {_SUB_SQL.replace(', source_file', '')}, {_NOTE_SQL}, source_file AS submitted_file,
+              TRUE AS file_is_listed, CAST(1 AS BIGINT) AS submissions_of_file FROM upload""",
     upto="upload"))
 def _scan_uploads(st: State) -> DataFrame:
+    listed = [file_name(p) for p in discover_uploads(st.spark, st.csv_folder)]
     df = read_uploads(st.spark, st.csv_folder)
-    return df.select(*REQUIRED_COLUMNS, F.col("Submission").alias("submitted_file"),
-                     F.col("source_file").endswith(".csv").alias("file_is_csv"))
+    # Each file was written from one submission.
+    of_file = df.groupBy(F.col("source_file").alias("_file")).agg(F.count_distinct("Submission").alias("submissions_of_file"))
+    return df.join(of_file, F.col("source_file") == F.col("_file")).select(
+        *REQUIRED_COLUMNS, "Note", F.col("Submission").alias("submitted_file"),
+        F.col("source_file").isin(listed).alias("file_is_listed"), "submissions_of_file")
 
 
 @check("union_by_name", with_ctes(

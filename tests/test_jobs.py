@@ -6,6 +6,7 @@ import pytest
 
 from lotgate.operators.constraints import DuplicateResultsError
 from lotgate.plans.jobs import batch_load, batch_validation, history_migration, setup_store
+from lotgate.plans.publish import ModelStore
 from lotgate.session import scratch_path
 
 
@@ -86,3 +87,15 @@ def test_store_only_takes_a_missing_path_for_no_commit(spark):
     with pytest.raises(Exception) as err:
         store.initialize()
     assert not isinstance(err.value, FileExistsError)
+
+
+def test_history_with_a_line_end_inside_a_field(spark):
+    """A quoted field over two lines is one parameter name, not half a record."""
+    root = scratch_path(spark, "jobs-lines")
+    setup_store(spark, root)
+    hist = scratch_path(spark, "jobs-lines-hist")
+    write(hist, "history.csv", HISTORY + 'K2,Maker B,2/6/2026,Main,B,"Temp\nhigh, ""max""",5\n')
+    counts = {r.table_name: r.row_count for r in history_migration(spark, root, os.path.join(hist, "history.csv")).collect()}
+    assert counts["parameter"] == 4 and counts["result"] == 4 and counts["skipped_history"] == 0
+    names = {r.parameter_name for r in ModelStore(root, spark).read("parameter").collect()}
+    assert names == {"Time", "Flow", "Mix", 'Temp\nhigh, "max"'}
