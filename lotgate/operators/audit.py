@@ -32,7 +32,7 @@ class Audited:
     inserted: DataFrame
 
 
-def audit_rejections(staged: DataFrame, audit: DataFrame, run_ts: Column) -> Audited:
+def audit_rejections(staged: DataFrame, audit: DataFrame, run_ts: Column, max_id: int | None = None) -> Audited:
     """Insert rejected rows, ignoring any whose hash is already present,
     within this run or in the table (R-1, U-4).
 
@@ -46,7 +46,7 @@ def audit_rejections(staged: DataFrame, audit: DataFrame, run_ts: Column) -> Aud
                              candidates, "rejection_hash")
     fresh = candidates.join(known, "rejection_hash", "left_anti")
     with_ids = assign_keys(fresh, ["rejection_hash"], "rejected_id",
-                           after_max_of=audit)
+                           **({"after_max_of": audit} if max_id is None else {"start_after": max_id}))
     inserted = conform(with_ids.withColumn("created_at", run_ts), "rejected_records")
     return Audited(conform(audit, "rejected_records").unionByName(inserted), inserted)
 

@@ -46,7 +46,7 @@ def assign_keys(
     """Add *id_col* = ``start`` + 1-based rank of the row in key order.
 
     ``start`` is *start_after*, or the largest *id_col* in *after_max_of*
-    when given (read in the same job as the partition sizes).  *rows* must be
+    when given as a frame (read in the same job as the partition sizes).  *rows* must be
     unique on *key_cols* (callers de-duplicate first).  The tagged rows are
     written once to the shared checkpoint folder, so the ids stay fixed.
     """

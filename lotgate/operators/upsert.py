@@ -15,6 +15,7 @@ from lotgate.functions.numbers import values_differ
 from lotgate.operators.keys import assign_keys
 from lotgate.operators.lookups import fits_broadcast, restrict_to_keys
 from lotgate.schemas import GROWING_TABLES, KEYS, conform
+from lotgate.session import materialize
 
 
 @dataclass
@@ -27,17 +28,23 @@ def _timestamps(df: DataFrame, ts: Column) -> DataFrame:
     return df.withColumn("created_at", ts).withColumn("modified_at", ts)
 
 
+def _after(table: DataFrame, max_id: int | None) -> dict:
+    return {"after_max_of": table} if max_id is None else {"start_after": max_id}
+
+
 def insert_if_absent(
     table_name: str,
     table: DataFrame,
     candidates: DataFrame,
     run_ts: Column | None = None,
     ts_col: str | None = None,
+    max_id: int | None = None,
 ) -> Inserted:
     """Append the candidates whose business key is not in *table* (U-1).
 
     Keys match with ``=`` as in ``NOT EXISTS``, so a NULL key part never
-    matches.  New rows get ids after the current maximum (K-1) and
+    matches.  New rows get ids after the current maximum (K-1; *max_id* if the
+    caller knows it, else read from the table) and
     ``created_at = modified_at`` = *run_ts* or the candidate's *ts_col*.
     """
     keys = KEYS[table_name]
@@ -54,7 +61,7 @@ def insert_if_absent(
         c = candidates[k] == existing[f"_x_{k}"]
         cond = c if cond is None else cond & c
     fresh = candidates.join(existing, cond, "left_anti")
-    with_ids = assign_keys(fresh, bk, keys.id_col, after_max_of=table)
+    with_ids = assign_keys(fresh, bk, keys.id_col, **_after(table, max_id))
     ts = F.col(ts_col) if ts_col else run_ts
     inserted = conform(_timestamps(with_ids, ts), table_name)
     return Inserted(conform(table, table_name).unionByName(inserted), inserted)
@@ -94,12 +101,14 @@ def _apply_changes(stored: DataFrame, classified: DataFrame, ts_col: str) -> Dat
     )
 
 
-def upsert_results(result: DataFrame, incoming: DataFrame, ts_col: str = "load_timestamp") -> Upserted:
+def upsert_results(result: DataFrame, incoming: DataFrame, ts_col: str = "load_timestamp",
+                   max_id: int | None = None) -> Upserted:
     """Update changed values and insert new results (U-2 + U-1 on result).
 
     *incoming* has batch_id, parameter_id, value and *ts_col*.  Updated rows
     take the new value and ``modified_at`` = *ts_col*; new rows get ids after
-    the current maximum.
+    the current maximum (*max_id* if the caller knows it).  The classified rows
+    are written once: the updates, the inserts and the caller read them.
 
     A load touches few batches of a large result table.  When the touched
     batch ids fit the broadcast bound, stored results are split map-side
@@ -114,13 +123,13 @@ def upsert_results(result: DataFrame, incoming: DataFrame, ts_col: str = "load_t
         untouched = conform(result.join(ids, "batch_id", "left_anti"), "result")
     else:
         stored, untouched = result, None
-    classified = classify_results(stored, incoming)
+    classified = materialize(classify_results(stored, incoming), "classified")
     kept = conform(_apply_changes(stored, classified, ts_col), "result")
     if untouched is not None:
         kept = untouched.unionByName(kept)
     fresh = classified.filter(F.col("action") == "new").select(
         "batch_id", "parameter_id", "value", ts_col)
     with_ids = assign_keys(fresh, ["batch_id", "parameter_id"], "result_id",
-                           after_max_of=result)
+                           **_after(result, max_id))
     inserted = conform(_timestamps(with_ids, F.col(ts_col)), "result")
     return Upserted(kept.unionByName(inserted), classified, inserted)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lotgate.plans.load import Load, recurring_load
 from lotgate.plans.migrate import migration_summary, migrate_history
-from lotgate.plans.publish import ModelStore
+from lotgate.plans.publish import Append, ModelStore
 from lotgate.plans.validate import Validation, validate_uploads
 from lotgate.schemas import MODEL_TABLES
 from lotgate.sources.uploads import read_history, read_uploads
@@ -42,8 +42,8 @@ def history_migration(spark: SparkSession, root: str, source: str,
     rows are published under that name in the same commit."""
     store = ModelStore(root, spark)
     mig = migrate_history(read_history(spark, source, multiline), store.read_model(), run_ts=run_ts)
-    store.publish({**{k: mig.model[k] for k in MODEL_TABLES}, SKIPPED_TABLE: mig.skipped}, run_id="history")
-    model = store.read_model()
+    store.publish({**{k: Append(mig.inserted[k]) for k in MODEL_TABLES}, SKIPPED_TABLE: mig.skipped}, run_id="history")
+    model = dict(store.read_model())
     skipped = model.pop(SKIPPED_TABLE).agg(F.lit(SKIPPED_TABLE).alias("table_name"), F.count("*").alias("record_count"))
     counts = migration_summary(model)
     return counts.unionByName(skipped.toDF(*counts.columns))
@@ -62,7 +62,7 @@ def batch_validation(spark: SparkSession, root: str, upload_folder: str,
     store = ModelStore(root, spark)
     val = validate_uploads(read_uploads(spark, upload_folder, multiline), store.read_model(), run_ts=run_ts)
     run_id = store.publish({
-        "rejected_records": val.audit,
+        "rejected_records": Append(val.audit_inserted),
         STAGING_TABLE: val.staged.drop("rejection_rule"),
         VALID_TABLE: val.valid,
     }, run_id="validation")
@@ -78,5 +78,5 @@ def batch_load(spark: SparkSession, root: str, commit: bool = False) -> Load:
         raise KeyError(f"table {VALID_TABLE} has never been published in {root}")
     load = recurring_load(model[VALID_TABLE], model)  # one snapshot for both
     if commit:
-        store.publish({"batch": load.model["batch"], "result": load.model["result"]}, run_id="load")
+        store.publish(load.delta, run_id="load")
     return load

@@ -18,6 +18,7 @@ from lotgate.functions.dates import parse_dom
 from lotgate.operators.constraints import DuplicateResultsError, check_inserted, duplicate_results, has_rows
 from lotgate.operators.lookups import bounded_broadcast, hierarchy_dim, lookup_manufacturer, resolve_keys
 from lotgate.operators.upsert import insert_if_absent, upsert_results
+from lotgate.plans.publish import Append, Buckets, Snapshot, bucket_of
 from lotgate.session import materialize
 
 
@@ -28,6 +29,7 @@ class Load:
     classified: DataFrame
     summary: DataFrame
     review: DataFrame
+    delta: dict  # what a publish of this load writes
 
 
 def new_batch_rows(valid: DataFrame, manufacturer: DataFrame) -> DataFrame:
@@ -45,10 +47,14 @@ def load_summary(model: dict[str, DataFrame], before: dict[str, DataFrame] | Non
     """Totals of batch and result after the load (L-2, A-1).
 
     Given the stored tables and the inserted rows, a total is the stored count
-    plus the inserted count (updates never change a count): a bare count of a
-    stored Parquet table reads only row-group metadata, and the inserted rows
-    are few, so the large next state is never scanned for it.
+    plus the inserted count (updates never change a count): a store's commit
+    log has the stored count, a bare count of a Parquet table reads only
+    row-group metadata, and the inserted rows are few, so the large next state
+    is never scanned for it.
     """
+    if isinstance(before, Snapshot) and inserted is not None and None not in (before.n_rows("batch"), before.n_rows("result")):
+        return inserted["batch"].agg(F.count(F.lit(1)).alias("b")).crossJoin(inserted["result"].agg(F.count(F.lit(1)).alias("r"))).select(
+            (F.col("b") + before.n_rows("batch")).alias("total_batches"), (F.col("r") + before.n_rows("result")).alias("total_results"))
     if before is not None and inserted is not None:
         sources = {"batch": [before["batch"], inserted["batch"]],
                    "result": [before["result"], inserted["result"]]}
@@ -96,16 +102,21 @@ def review_loaded(model: dict[str, DataFrame], valid: DataFrame,
 
 
 def recurring_load(valid: DataFrame, model: dict[str, DataFrame], check: bool = True) -> Load:
-    """Load *valid* staging rows into *model*; raises on duplicate input."""
+    """Load *valid* staging rows into *model*; raises on duplicate input.
+
+    Given a store's snapshot, only the buckets of ``result`` that hold touched
+    batches are read, and only those with new or updated rows are in ``delta``.
+    """
     dups = duplicate_results(valid)
     if has_rows(dups):
         raise DuplicateResultsError(
             "Duplicate Batch/Parameter combinations in the valid staging rows; load stopped.", dups)
-    before = dict(model)
+    before = model
+    stored = model if isinstance(model, Snapshot) else None
     model = dict(model)
 
     fresh = new_batch_rows(valid, model["manufacturer"])
-    batches = insert_if_absent("batch", model["batch"], fresh, ts_col="load_timestamp")
+    batches = insert_if_absent("batch", model["batch"], fresh, ts_col="load_timestamp", max_id=stored.max_id("batch") if stored else None)
     model["batch"] = batches.next_state
 
     # Resolved once: the touched-batch split, the classification and the
@@ -114,8 +125,19 @@ def recurring_load(valid: DataFrame, model: dict[str, DataFrame], check: bool =
         hierarchy_dim(model["process"], model["unit_operation"], model["parameter"]), "hierarchy")
     incoming = materialize(resolve_keys(valid, model["batch"], hier).select(
         "batch_id", "parameter_id", F.col("Value").alias("value"), "load_timestamp"), "incoming")
-    up = upsert_results(model["result"], incoming)
-    model["result"] = up.next_state
+    if stored is not None and "result" in stored.widths:
+        bucket = bucket_of("batch_id", stored.widths["result"]).alias("bucket")
+        # At most a number per bucket, as the commit log has them.
+        touched = {r["bucket"] for r in incoming.select(bucket).distinct().collect()}
+        up = upsert_results(stored.buckets("result", only=touched), incoming, max_id=stored.max_id("result"))
+        changed = {r["bucket"] for r in up.classified.where("action <> 'unchanged'").select(bucket).distinct().collect()}
+        model["result"] = stored.buckets("result", but=touched).unionByName(up.next_state)
+        result = Buckets(up.next_state.where(bucket_of("batch_id", stored.widths["result"]).isin(sorted(changed))), sorted(changed))
+        reviewed = model | {"result": up.next_state}
+    else:
+        up = upsert_results(model["result"], incoming)
+        model["result"] = result = up.next_state
+        reviewed = model
 
     if check:
         check_inserted({"batch": batches.inserted, "result": up.inserted})
@@ -124,5 +146,6 @@ def recurring_load(valid: DataFrame, model: dict[str, DataFrame], check: bool =
         new_batches=batches.inserted,
         classified=up.classified,
         summary=load_summary(model, before, {"batch": batches.inserted, "result": up.inserted}),
-        review=review_loaded(model, valid, hier),
+        review=review_loaded(reviewed, valid, hier),
+        delta={"batch": Append(batches.inserted), "result": result},
     )

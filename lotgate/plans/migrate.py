@@ -24,6 +24,7 @@ from lotgate.functions.text import strip_whitespace
 from lotgate.operators.constraints import check_inserted
 from lotgate.operators.lookups import bounded_broadcast, hierarchy_dim, lookup_manufacturer, lookup_unit_operation, resolve_keys
 from lotgate.operators.upsert import insert_if_absent
+from lotgate.plans.publish import Snapshot
 from lotgate.schemas import MODEL_TABLES, empty_model
 from lotgate.session import materialize, run_timestamp
 
@@ -81,6 +82,7 @@ class Migration:
 def migrate_history(history: DataFrame, model: dict[str, DataFrame] | None = None,
                     run_ts: Column | None = None, check: bool = True) -> Migration:
     spark = history.sparkSession
+    snapshot = model if isinstance(model, Snapshot) else None
     model = dict(model) if model is not None else empty_model(spark)
     ts = run_ts if run_ts is not None else run_timestamp(spark)
 
@@ -95,7 +97,7 @@ def migrate_history(history: DataFrame, model: dict[str, DataFrame] | None = Non
     inserted: dict[str, DataFrame] = {}
 
     def step(name: str, candidates: DataFrame) -> None:
-        res = insert_if_absent(name, model[name], candidates, run_ts=ts)
+        res = insert_if_absent(name, model[name], candidates, run_ts=ts, max_id=snapshot.max_id(name) if snapshot else None)
         model[name] = res.next_state
         inserted[name] = res.inserted
 

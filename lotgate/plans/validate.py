@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lotgate.functions.numbers import canonical_value
 from lotgate.operators.audit import audit_rejections, rejections_by_stage, validation_counts
 from lotgate.operators.rules import label_rows
+from lotgate.plans.publish import Snapshot
 from lotgate.schemas import empty_table
 from lotgate.session import materialize, run_timestamp
 
@@ -58,7 +59,8 @@ def validate_uploads(submissions: DataFrame, model: dict[str, DataFrame],
     audit_table = model.get("rejected_records")
     if audit_table is None:
         audit_table = empty_table(spark, "rejected_records")
-    audited = audit_rejections(staged, audit_table, ts)
+    known = model.max_id("rejected_records") if isinstance(model, Snapshot) and "rejected_records" in model else None
+    audited = audit_rejections(staged, audit_table, ts, known)
     return Validation(
         staged=staged,
         valid=stage_valid(staged),
