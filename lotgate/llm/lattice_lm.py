@@ -3,8 +3,9 @@
 A text is a sequence of words, each written as a word mark and its lower-cased
 bytes, and an end. The model is a unigram distribution over pieces: an existing
 subword vocabulary (with the 256 single bytes, so that every word can be
-spelled), the whole words of the training texts, and the end. The probability
-of a text is summed over *all* its segmentations into pieces; as no piece goes
+spelled), the whole words of the training texts, and the end. A whole word is
+a piece that ends with its word: an arc over all of that word's lattice beside
+the arcs of its subwords. The probability of a text is summed over *all* its segmentations into pieces; as no piece goes
 beyond a word, it is the product of the words' marginals, each found by a
 forward recursion in log space over the lattice of pieces.
 
@@ -19,8 +20,9 @@ the words seen once and twice.
 Scale: texts are cut into blocks, and a block's distinct words with their
 counts are what goes on; all passes work on the table of distinct words, which
 Spark deals out. Only the score of each vocabulary piece (a fixed number)
-reaches the driver. Word scores go back to the blocks by a join on the word,
-in which a frequent word has one row per block.
+and the scores of the FREQUENT most frequent words reach the driver. Those are
+broadcast to the blocks; the scores of all other words go back by a join on the
+word.
 """
 
 from __future__ import annotations
@@ -39,41 +41,67 @@ FLOOR = 0.1  # pseudo-count of each piece
 MARK = b" "
 TEXT_BYTES = 4 << 20
 WORDS_AT_ONCE = 1 << 15
+FREQUENT = 1 << 17  # most words whose scores are broadcast
+_SPREAD = 0x9E3779B1
 _LN10 = np.log(10.0)
 
 
 class Lattice:
-    """Pieces as a byte trie, and the lattices of many words at a time."""
+    """Pieces as a byte trie, and the lattices of many words at a time. The
+    trie's edges lie in a hash table of (node, byte), a few MB in all."""
 
     def __init__(self, pieces: list[bytes]):
-        children: list[dict[int, int]] = [{}]
+        edges: dict[int, int] = {}  # node << 8 | byte, from 1 on -> node
         ends = [-1]
         for number, piece in enumerate(pieces):
             node = 0
             for byte in piece:
-                if byte not in children[node]:
-                    children[node][byte] = len(children)
-                    children.append({})
+                edge = (node << 8 | byte) + 1
+                if edge not in edges:
+                    edges[edge] = len(ends)
                     ends.append(-1)
-                node = children[node][byte]
+                node = edges[edge]
             ends[node] = number
-        self.step = np.zeros((len(children), 256), np.int32)  # 0: no piece goes on so
-        for node, following in enumerate(children):
-            for byte, to in following.items():
-                self.step[node, byte] = to
+        bits = max(4, (4 * len(edges)).bit_length())
+        self.shift, self.mask = np.uint32(32 - bits), (1 << bits) - 1
+        self.keys, self.to = np.zeros(1 << bits, np.uint32), np.zeros(1 << bits, np.int32)
+        for edge, to in edges.items():
+            at = (edge * _SPREAD & 0xFFFFFFFF) >> (32 - bits)
+            while self.keys[at]:
+                at = (at + 1) & self.mask
+            self.keys[at], self.to[at] = edge, to
         self.end = np.array(ends, np.int32)
 
-    def forward(self, words: np.ndarray, log_p: np.ndarray):
+    def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The nodes that *byte* leads to; 0: no piece goes on so."""
+        key = (node.astype(np.uint32) << np.uint32(8) | byte) + np.uint32(1)
+        at = ((key * np.uint32(_SPREAD)) >> self.shift).astype(np.int64)
+        found = self.keys[at]
+        out = np.where(found == key, self.to[at], 0)
+        more = np.flatnonzero((found != key) & (found != 0))
+        while len(more):
+            at[more] = (at[more] + 1) & self.mask
+            found = self.keys[at[more]]
+            hit = found == key[more]
+            out[more[hit]] = self.to[at[more[hit]]]
+            more = more[~hit & (found != 0)]
+        return out
+
+    def forward(self, words: np.ndarray, log_p: np.ndarray, spelled: float = 0.0, whole: np.ndarray | None = None):
         """*words*: (count, length) bytes. Log marginals, the log forward
-        weights and the arcs (from, to, rows, pieces) in order of ``from``."""
+        weights and the arcs (from, to, rows, pieces) in order of ``from``.
+        *whole* has the log score of each word as one piece, an arc over all of
+        its lattice; *spelled* is the log weight of the arcs of subwords."""
         count, length = words.shape
         alpha = np.full((length + 1, count), -np.inf)
-        alpha[0] = 0.0
+        alpha[0] = spelled
+        if whole is not None:
+            alpha[length] = whole
         arcs = []
         for i in range(length):
             rows, node = np.arange(count), np.zeros(count, np.int32)
             for j in range(i, length):
-                node = self.step[node, words[rows, j]]
+                node = self.step(node, words[rows, j])
                 alive = node > 0
                 if not alive.all():
                     rows, node = rows[alive], node[alive]
@@ -120,17 +148,6 @@ def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
     return list(ranked), np.log(weight / weight.sum())
 
 
-_lattices: dict[int, tuple[list[bytes], Lattice]] = {}
-
-
-def _lattice(pieces) -> Lattice:
-    """The lattice of a broadcast vocabulary, built once per worker."""
-    value = pieces.value
-    if id(value) not in _lattices:
-        _lattices[id(value)] = value, Lattice(value)
-    return _lattices[id(value)][1]
-
-
 def _by_length(batches, size: int):
     """Groups of (rows, batch table, byte matrix) of words of one length."""
     held: list[pa.RecordBatch] = []
@@ -154,9 +171,9 @@ def _by_length(batches, size: int):
         yield from groups()
 
 
-def _expectations(pieces, log_p):
+def _expectations(shared, log_p):
     def run(batches):
-        lattice, total = _lattice(pieces), np.zeros(len(log_p))
+        lattice, total = shared.value, np.zeros(len(log_p))
         for table, groups in _by_length(batches, WORDS_AT_ONCE):
             for rows, words in groups:
                 total += lattice.expected(words, np.ones(len(rows)), log_p)
@@ -165,16 +182,15 @@ def _expectations(pieces, log_p):
     return run
 
 
-def _word_scores(pieces, log_p, n: int, discount: float, log_spelled: float):
+def _word_scores(shared, log_p, n: int, discount: float, log_spelled: float):
     def run(batches):
-        lattice = _lattice(pieces)
+        lattice = shared.value
         for table, groups in _by_length(batches, WORDS_AT_ONCE):
             out = np.zeros(len(table))
-            for rows, words in groups:
-                out[rows] = lattice.forward(words, log_p)[0]
-            whole = np.maximum(table["c"].to_numpy() - discount, 0) / max(n, 1)
             with np.errstate(divide="ignore"):
-                out = np.logaddexp(out + log_spelled, np.log(whole))
+                whole = np.log(np.maximum(table["c"].to_numpy() - discount, 0) / max(n, 1))
+            for rows, words in groups:
+                out[rows] = lattice.forward(words, log_p, log_spelled, whole[rows])[0]
             yield pa.RecordBatch.from_arrays([table["word"].combine_chunks(), table["c"].combine_chunks(), pa.array(out)], ["word", "c", "log_p"])
     return run
 
@@ -222,10 +238,52 @@ def _block_words(batches):
                 ["block", "place", "word", "c"])
 
 
-def _scored(n: int, v: int, end_count: int, log_end: float):
+def _frequent_words(frequent):
+    """A row per block: for each of its words the number of the frequent word
+    that it is, or -1."""
+    def run(batches):
+        number = {word: i for i, word in enumerate(frequent.value[0])}
+        for batch in batches:
+            found = [np.fromiter((number.get(w, -1) for w in (words.split(b"\n") if counts else ())), np.int32).tobytes()
+                     for words, counts in zip(column(batch, "words").to_pylist(), column(batch, "counts").to_pylist())]
+            yield pa.RecordBatch.from_arrays([column(batch, "block"), pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.int64()),
+                                              pa.nulls(batch.num_rows, pa.float64()), pa.array(found, pa.binary())], ["block", "place", "c", "log_p", "frequent"])
+    return run
+
+
+def _rare_words(frequent):
+    """The rows of :func:`_block_words` of words that are not frequent."""
+    def run(batches):
+        known = set(frequent.value[0])
+        for batch in _block_words(batches):
+            yield batch.filter(pa.array([w not in known for w in column(batch, "word").to_pylist()], pa.bool_())).select(["block", "place", "word"])
+    return run
+
+
+def _frequent(scored: DataFrame):
+    """Words, counts and scores of the most frequent training words, FREQUENT
+    at most: those whose count reaches the least step that no more words reach."""
+    step = F.floor(F.log2("c") * 16).cast("int")
+    steps = scored.where("c > 0").groupBy(step.alias("step")).count().collect()  # some hundreds
+    least, total = None, 0
+    for row in sorted(steps, key=lambda r: -r["step"]):
+        total += row["count"]
+        if total > FREQUENT:
+            break
+        least = row["step"]
+    if least is None:
+        return [], np.zeros(0, np.int64), np.zeros(0)
+    rows = scored.where("c > 0").where(step >= least).collect()
+    return [bytes(r["word"]) for r in rows], np.array([r["c"] for r in rows], np.int64), np.array([r["log_p"] for r in rows])
+
+
+def _scored(n: int, v: int, end_count: int, log_end: float, frequent):
     def run(texts: pa.Table, scores: pa.Table) -> pa.Table:
-        size = (pa.compute.max(scores["place"]).as_py() if len(scores) else -1) + 1
-        known, log_p = np.zeros(size, np.int64), np.zeros(size)
+        _, c, log = frequent.value
+        mine = next((np.frombuffer(x, np.int32) for x in scores["frequent"].to_pylist() if x is not None), np.zeros(0, np.int32))
+        known, log_p = np.zeros(len(mine), np.int64), np.zeros(len(mine))
+        known[mine >= 0], log_p[mine >= 0] = c[mine[mine >= 0]], log[mine[mine >= 0]]
+        scores = scores.filter(pa.compute.is_valid(scores["place"]))
         known[scores["place"].to_numpy()], log_p[scores["place"].to_numpy()] = scores["c"].to_numpy(), scores["log_p"].to_numpy()
         below = np.log10(n + 0.5 * (v + 1))
         base = np.log10(known + 0.5) - below
@@ -265,7 +323,7 @@ def score(docs: DataFrame, pieces_path: str, rounds: int = ROUNDS) -> DataFrame:
     n, v = seen["n"] + end_count, seen["v"] + (end_count > 0)
 
     pieces, log_p = vocabulary(pieces_path)
-    shared = spark.sparkContext.broadcast(pieces)
+    shared = spark.sparkContext.broadcast(Lattice(pieces))
     for _ in range(rounds if seen["n"] else 0):
         found = words.where("c > 0").mapInArrow(_expectations(shared, log_p), "piece int, expected double").groupBy("piece").agg(F.sum("expected").alias("e")).collect()
         expected = np.full(len(pieces), FLOOR)
@@ -279,7 +337,11 @@ def score(docs: DataFrame, pieces_path: str, rounds: int = ROUNDS) -> DataFrame:
         log_end, log_spelled = float(np.log(end_count / n)), float(np.log(discount * seen["v"] / n))
     scored, _ = keep(words.mapInArrow(_word_scores(shared, log_p, n, discount, log_spelled), "word binary, c long, log_p double"), "lm_scores")
     discard(spark, words_path)
-    back = placed.select("block", "place", "word").join(scored, "word").select("block", "place", "c", "log_p")
+    frequent = spark.sparkContext.broadcast(_frequent(scored))
+    lists = blocks.where("n_tokens is null").select("block", "words", "counts")
+    rare = lists.mapInArrow(_rare_words(frequent), "block long, place int, word binary")
+    back = rare.join(scored, "word").select("block", "place", "c", "log_p", F.lit(None).cast("binary").alias("frequent")).unionByName(
+        lists.mapInArrow(_frequent_words(frequent), "block long, place int, c long, log_p double, frequent binary"))
     return texts.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
-        _scored(n, v, end_count, log_end),
+        _scored(n, v, end_count, log_end, frequent),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
