@@ -26,7 +26,9 @@ Method
    its neighbours; the first of each distinct window there are compared over
    all buckets by their fingerprints.
 
-Fingerprints have 64 bits or more each, taken together with the anchor's.
+Settling is a shortcut by fingerprints: equal spans never reach the sort. An
+anchor's and a span's hash have 64 bits each and must both agree; edges and all
+windows that differ from their neighbours are compared byte by byte.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ from .tables import discard, keep, partitions_for
 FLUSH = 1 << 20  # anchors that a task holds before it hands them on
 BLOCK = 1 << 20
 _LAST = (1 << 63) - 1
-_ROW = np.dtype([("anchor", "<u8"), ("span", "<u8"), ("key", "<i8"), ("version", "<i4"), ("first", "<i4"), ("count", "u1"), ("ahead", "u1")])
+_ROW = np.dtype([("anchor", "<u8"), ("span", "<u8"), ("key", "<i8"), ("version", "<i8"), ("first", "<i4"), ("count", "u1"), ("ahead", "u1")])
 _FIELDS = list(_ROW.names)
 
 
@@ -96,22 +98,21 @@ def _dealt(rows: np.ndarray, parts: int) -> pa.RecordBatch:
         ["part", *_FIELDS])
 
 
-def _per_document(kind: int, rows: np.ndarray, **blobs) -> pa.Table:
-    """One row per document of *rows*, with packed arrays of the named fields."""
-    order = np.lexsort((rows["first"], rows["version"], rows["key"]))
-    rows = rows[order]
-    cut = np.flatnonzero(np.append(True, (rows["key"][1:] != rows["key"][:-1]) | (rows["version"][1:] != rows["version"][:-1]))) if len(rows) else np.zeros(0, int)
-    ends = np.append(cut[1:], len(rows)).astype(int)
-    packed = np.stack([x[order].astype(np.int32) for x in blobs.values()], 1) if len(rows) else np.zeros((0, 2), np.int32)
-    return pa.table([pa.array(np.full(len(cut), kind, np.int32)), pa.array(rows["key"][cut].copy()), pa.array(rows["version"][cut].copy()),
-                     pa.array([packed[a:b].tobytes() for a, b in zip(cut.tolist(), ends.tolist())], pa.binary())], ["kind", "key", "version", "data"])
+_INTERVAL = [("kind", pa.int32()), ("key", pa.int64()), ("version", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("ahead", pa.int32())]
+_INTERVALS = "kind int, key long, version long, first int, last int, ahead int"
 
 
-_PER_DOCUMENT = "kind int, key long, version int, data binary"
+def _intervals(kind: int, key, version, first, last, ahead=None) -> pa.Table:
+    """A row per interval of a document. Rows are as many as the intervals,
+    whatever the number of parts that found them."""
+    n = len(key)
+    values = [np.full(n, kind, np.int32), key, version, first, last, np.zeros(n) if ahead is None else ahead]
+    return pa.table([pa.array(np.asarray(x).astype(t.to_pandas_dtype())) for x, (_, t) in zip(values, _INTERVAL)], [f for f, _ in _INTERVAL])
 
 
 def _resolve(length: int, parts: int):
-    """Of one part: kind 0, removed (start, end); kind 1, edges (first, count, ahead)."""
+    """Of one part: kind 0, removed (first, last = end); kind 1, edges (first,
+    last = number of windows, ahead)."""
     def run(table: pa.Table) -> pa.Table:
         rows = np.concatenate([np.zeros(0, _ROW), *(_unpacked(r) for r in table.to_pylist())])
         if table["part"][0].as_py() >= parts:
@@ -123,8 +124,8 @@ def _resolve(length: int, parts: int):
             number = np.cumsum(group) - 1
             edges = rows[np.bincount(number, spans)[number] > 1]
         return pa.concat_tables([
-            _per_document(0, gone, start=gone["first"], end=gone["first"] + gone["count"] + np.int32(length - 1)),
-            _per_document(1, edges, first=edges["first"], count=edges["count"], ahead=edges["ahead"])])
+            _intervals(0, gone["key"], gone["version"], gone["first"], gone["first"] + gone["count"] + np.int32(length - 1)),
+            _intervals(1, edges["key"], edges["version"], edges["first"], edges["count"], edges["ahead"])])
     return run
 
 
@@ -135,17 +136,26 @@ def _unpacked(row: dict) -> np.ndarray:
     return out
 
 
+def _lists(batch: pa.RecordBatch, name: str):
+    """The intervals of each row of *batch* as rows of numbers."""
+    values = column(batch, name)
+    sizes = np.append(0, np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(values), 0).to_numpy()))
+    flat = values.flatten()
+    rows = np.stack([x.to_numpy(zero_copy_only=False) for x in flat.flatten()], 1) if len(flat) else np.zeros((0, 3), np.int32)
+    return (rows[a:b] for a, b in zip(sizes[:-1].tolist(), sizes[1:].tolist()))
+
+
 def _contexts(length: int):
     """A row per edge: the suffix at its anchor and the bytes before it."""
     def run(batches):
         for batch, texts in text_blocks(batches):
             out: list[list] = [[], [], [], [], [], []]
-            for text, key, version, lists in zip(texts, column(batch, "key").to_pylist(), column(batch, "version").to_pylist(), column(batch, "edges").to_pylist()):
-                for first, count, ahead in np.frombuffer(b"".join(lists), np.int32).reshape(-1, 3).tolist():
+            for text, key, version, edges in zip(texts, column(batch, "key").to_pylist(), column(batch, "version").to_pylist(), _lists(batch, "edges")):
+                for first, count, ahead in edges.tolist():
                     for values, x in zip(out, (text[first + ahead:first + count + length - 1], text[first:first + ahead], key, version, first, count)):
                         values.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64()),
-                                              pa.array(out[3], pa.int32()), pa.array(out[4], pa.int32()), pa.array(out[5], pa.int32())],
+                                              pa.array(out[3], pa.int64()), pa.array(out[4], pa.int32()), pa.array(out[5], pa.int32())],
                                              ["suffix", "before", "key", "version", "first", "count"])
     return run
 
@@ -172,7 +182,7 @@ def equal_runs(data: np.ndarray, places: np.ndarray, length: int) -> tuple[np.nd
     return index, run
 
 
-_BUCKET = f"kind int, key long, version int, data binary, part int, {', '.join(f'{f}_ binary' for f in _FIELDS)}"
+_BUCKET = f"{_INTERVALS}, part int, {', '.join(f'{f}_ binary' for f in _FIELDS)}"
 _BUCKET_NAMES = [x.split()[0] for x in _BUCKET.split(", ")]
 
 
@@ -208,9 +218,7 @@ def _sorted_bucket(length: int, gram: int, parts: int):
         # Windows of one span that follow each other merge into one interval.
         fresh = np.append(True, (np.diff(gone) != 1) | (owner[gone[1:]] != owner[gone[:-1]])) if len(gone) else np.zeros(0, bool)
         begin, last = gone[fresh], gone[np.append(fresh[1:], True)] if len(gone) else gone
-        marks = np.zeros(len(begin), [("key", "<i8"), ("version", "<i4"), ("first", "<i4")])
-        marks["key"], marks["version"], marks["first"] = key[begin], rows["version"][owner[begin]], first[begin]
-        found = _per_document(0, marks, start=first[begin], end=first[last] + length)
+        found = _intervals(0, key[begin], rows["version"][owner[begin]], first[begin], first[last] + length)
         edge = np.flatnonzero(at_end[owner] & ~later)
         ends = np.zeros(len(edge), _ROW)
         ends["anchor"] = block.slice_hashes(place[edge], place[edge] + length)
@@ -237,7 +245,7 @@ def _across(length: int):
     """Kind 0 of the windows that started earlier in another bucket."""
     def run(table: pa.Table) -> pa.Table:
         _, later = _settle(np.concatenate([np.zeros(0, _ROW), *(_unpacked(r) for r in table.to_pylist())]))
-        return _per_document(0, later, start=later["first"], end=later["first"] + np.int32(length))
+        return _intervals(0, later["key"], later["version"], later["first"], later["first"] + np.int32(length))
     return run
 
 
@@ -254,8 +262,8 @@ def merged(intervals: np.ndarray) -> np.ndarray:
 def _cut(batches, as_text: bool):
     for batch, texts in text_blocks(batches):
         kept, spans = [], []
-        for text, lists in zip(texts, column(batch, "removed").to_pylist()):
-            gaps = merged(np.frombuffer(b"".join(lists or ()), np.int32).reshape(-1, 2)).tolist()
+        for text, removed in zip(texts, _lists(batch, "removed")):
+            gaps = merged(removed[:, :2]).tolist()
             at, pieces = 0, []
             for start, end in gaps:
                 pieces.append(text[at:start])
@@ -289,31 +297,32 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 50, as_text:
                        F.col("text").cast("binary").alias("text"))
     repeated = rows.groupBy("key").count().where("count > 1").select("key", F.lit(True).alias("again"))
     if repeated.isEmpty():
-        rows = rows.withColumn("version", F.lit(0))
+        rows = rows.withColumn("version", F.lit(0).cast("long"))
     else:  # intervals must find the very text of several with one doc_id
         rows = (rows.join(repeated, "key", "left")
-                .withColumn("version", F.when(F.col("again"), F.hash("text")).otherwise(0)).drop("again"))
+                .withColumn("version", F.when(F.col("again"), F.xxhash64("text")).otherwise(0)).drop("again"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = partitions_for(spark, size * 2 / (length - gram) * _ROW.itemsize)
     blobs = ", ".join(f"{f} binary" for f in _FIELDS)
     settled, settled_path = keep(
         rows.select("key", "version", "text").mapInArrow(_fingerprints(length, gram, parts), f"part int, {blobs}")
-        .groupBy("part").applyInArrow(_resolve(length, parts), _PER_DOCUMENT), "settled")
-    edges = settled.where("kind = 1").groupBy("key", "version").agg(F.collect_list("data").alias("edges"))
+        .groupBy("part").applyInArrow(_resolve(length, parts), _INTERVALS), "settled")
+    interval = F.struct("first", "last", "ahead")
+    edges = settled.where("kind = 1").groupBy("key", "version").agg(F.collect_list(interval).alias("edges"))
     contexts, contexts_path = keep(
         rows.select("key", "version", "text").join(edges, ["key", "version"])
-        .mapInArrow(_contexts(length), "suffix binary, before binary, key long, version int, first int, count int"), "contexts")
+        .mapInArrow(_contexts(length), "suffix binary, before binary, key long, version long, first int, count int"), "contexts")
     n_buckets = partitions_for(spark, contexts.count() * 256)
     end_parts = n_buckets // 4 + 1
     buckets, buckets_path = keep(
         contexts.repartitionByRange(n_buckets, "suffix", "before", "key").mapInArrow(_sorted_bucket(length, gram, end_parts), _BUCKET), "buckets")
     across = (buckets.where("kind = 2").select("part", *(F.col(f"{f}_").alias(f) for f in _FIELDS))
-              .groupBy("part").applyInArrow(_across(length), _PER_DOCUMENT).select("key", "version", "data"))
-    removed = (settled.where("kind = 0").select("key", "version", "data")
-               .unionByName(buckets.where("kind = 0").select("key", "version", "data")).unionByName(across)
-               .groupBy("key", "version").agg(F.collect_list("data").alias("removed")))
+              .groupBy("part").applyInArrow(_across(length), _INTERVALS))
+    columns = ["key", "version", "first", "last", "ahead"]
+    removed = (settled.where("kind = 0").select(*columns).unionByName(buckets.where("kind = 0").select(*columns)).unionByName(across.select(*columns))
+               .groupBy("key", "version").agg(F.collect_list(interval).alias("removed")))
     removed, _ = keep(removed, "removed")
     discard(spark, settled_path, contexts_path, buckets_path)
-    schema = (f"row {rows.schema['row'].dataType.simpleString()}, key long, version int, n_bytes long, kept {'string' if as_text else 'binary'}, "
+    schema = (f"row {rows.schema['row'].dataType.simpleString()}, key long, version long, n_bytes long, kept {'string' if as_text else 'binary'}, "
               "removed array<struct<start:int,end:int>>")
     return rows.join(removed, ["key", "version"], "left").select("row", "key", "version", "text", "removed").mapInArrow(partial(_cut, as_text=as_text), schema).drop("key", "version")

@@ -259,3 +259,22 @@ def test_digest_query_columns(spark, docs):
     text = {r[0]: (r[1] or "").encode() for r in corpus()}
     assert all(r["kept_sha256"] == hashlib.sha256(text[i]).hexdigest() for i, r in by_id.items() if not r["n_removed"])
     assert any(r["n_removed"] for r in by_id.values())
+
+
+def test_settled_rows_do_not_depend_on_the_parts(spark, docs, monkeypatch):  # noqa: F811
+    from lotgate.llm import suffix_dedup
+
+    found, keep = {}, suffix_dedup.keep
+
+    def counted(df, name):
+        kept = keep(df, name)
+        if name == "settled":
+            found["settled"] = kept[0].groupBy("kind").count().orderBy("kind").collect()
+        return kept
+    monkeypatch.setattr(suffix_dedup, "keep", counted)
+    seen = []
+    for parts in (3, 60):
+        monkeypatch.setattr(suffix_dedup, "partitions_for", lambda *_, parts=parts: parts)
+        rows = suffix_dedup.remove_repeats(docs).select("row.doc_id", "kept", "removed").collect()
+        seen.append((found["settled"], sorted(map(str, rows))))
+    assert seen[0] == seen[1] and sum(r["count"] for r in seen[0][0]) > 0
