@@ -165,14 +165,20 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
     quality: 1 good, 0 bad).
 
     A null text is empty and fails; a null stratum is a stratum of its own; a
-    null doc_id or quality is unlabelled; repeated labels of one document count
-    once each distinct value. Equal rows get equal verdicts. With no (or too
+    null doc_id or quality is unlabelled. A trial of the binomial tests is a
+    labelled text: copies of a text in a stratum, under one doc_id or several,
+    are one trial, several texts under one doc_id are one (that of the least
+    stratum and counts), and a text labelled both ways is a good one. Equal rows
+    get equal verdicts. With no (or too
     few) labels the rules stay off. An empty table gives no rows.
     """
     counts, _ = keep(base_counts(docs.select("doc_id", "text", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"))),
                      "rule_counts")
     marks = labels.where("quality is not null").select("doc_id", (F.col("quality") == 1).alias("good")).distinct()
-    cuts = safe_cutoffs(counts.where("not base_failed").join(marks, "doc_id"), risk, error)
+    found = F.struct("stratum", *COUNTS, "text_hash")
+    of_document = counts.where("not base_failed").join(marks, "doc_id").groupBy("doc_id").agg(F.min(found).alias("x"), F.max("good").alias("good"))
+    trials = of_document.select("x.*", "good").groupBy("stratum", "text_hash").agg(*(F.min(c).alias(c) for c in COUNTS), F.max("good").alias("good"))
+    cuts = safe_cutoffs(trials, risk, error)
     hit = F.lit(False)
     for rule in RULES:
         hit = hit | F.coalesce(_rejects(rule, F.col(f"cut_{rule}")), F.lit(False))
@@ -203,13 +209,17 @@ w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
 g as (select row, unnest(range(1, len(words) - 1)) as i, words from w where len(words) >= 3),
 h as (select row, i, count(*) over (partition by row, words[i], words[i + 1], words[i + 2]) as found from g),
 r as (select row, count(distinct p) as n from (select row, unnest([i, i + 1, i + 2]) as p from h where found > 1) group by row),
-c as (select w.row, doc_id, stratum, len(words)::bigint as n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
+c as (select w.row, doc_id, stratum, text, len(words)::bigint as n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(r.n, 0)::bigint as n_repeat_words
       from w left join r on w.row = r.row),
 b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c),
-l as (select b.*, good from b join (select distinct doc_id, quality = 1 as good from labels where quality is not null) m
-        on b.doc_id = m.doc_id where not base_failed),
+d as (select b.doc_id, max(good) as good, min(struct_pack(stratum := stratum, n_words := n_words, word_chars := word_chars, n_symbols := n_symbols,
+          n_dup_lines := n_dup_lines, n_repeat_words := n_repeat_words, text := text)) as x
+      from b join (select distinct doc_id, quality = 1 as good from labels where quality is not null) m
+        on b.doc_id = m.doc_id where not base_failed group by b.doc_id),
+l as (select x.stratum as stratum, x.text as text, min(x.n_words) as n_words, min(x.word_chars) as word_chars, min(x.n_symbols) as n_symbols,
+        min(x.n_dup_lines) as n_dup_lines, min(x.n_repeat_words) as n_repeat_words, max(good) as good from d group by x.stratum, x.text),
 s as (select stratum, rule, step, cutoff, count(*) filter (good) as n, count(*) filter (good and {case}) as k,
         count(*) filter (not good and {case}) as bad
       from l, (values {grid}) v(rule, step, cutoff) group by all),

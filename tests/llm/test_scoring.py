@@ -207,6 +207,26 @@ def test_log_tail(spark):
         assert math.isclose(x, max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms)), rel_tol=1e-9)
 
 
+def test_copies_of_one_document_are_one_trial(spark):
+    """3,000 copies of one good text open no cutoff, under one id or many."""
+    rng = np.random.default_rng(2)
+    def text(good):
+        words = [f"word{int(i)}" for i in rng.integers(0, 5000, 120)]
+        return " ".join(w if good or i % 2 else "##" + w for i, w in enumerate(words))
+    rows = [(i, text(i % 2 == 0), "en") for i in range(40)]
+    many = rows + [(0, rows[0][1], "en")] * 3000 + [(1000 + i, rows[2][1], "en") for i in range(3000)]
+    labels = [(r[0], int(r[0] % 2 == 0)) for r in rows] + [(1000 + i, 1) for i in range(3000)] + [(4, 0)]
+
+    def kept(rows, labels):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        return {r["doc_id"]: r["kept"] for r in risk_rules.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    assert all(kept(many, labels).values())
+    # As many distinct good texts do open one.
+    apart = rows + [(1000 + i, text(True), "en") for i in range(1500)]
+    found = kept(apart, labels)
+    assert not found[1] and found[0] and found[4]
+
+
 # -- op4 ---------------------------------------------------------------------
 
 def test_differencing_partitions():
@@ -247,6 +267,33 @@ def test_packing_round_trip(spark, docs, none):
     assert packing.pack(none, path).count() == 0
 
 
+@pytest.mark.parametrize("k", [1, 2, 7, 40])
+def test_differencing_gives_near_equal_windows(k):
+    rng = np.random.default_rng(k)
+    for sizes in (rng.integers(1, 513, 300), np.ones(1000, int), np.full(50, 512), np.append(np.full(300, 512), np.ones(300, int))):
+        window = packing.difference(np.sort(sizes)[::-1], k)
+        sums = np.bincount(window, np.sort(sizes)[::-1], k)
+        assert ((window >= 0) & (window < k)).all() and sums.max() - sums.min() <= sizes.max()
+
+
+def test_equal_rows_and_tiny_texts_are_dealt_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_WINDOWS", 4)
+    monkeypatch.setattr(packing, "GROUP_PIECES", 500)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    copies = spark.createDataFrame([(1, "some words of one text " * 100)] * 300, "doc_id long, text string").repartition(3)
+    tiny = spark.createDataFrame([(i, "") for i in range(20_000)], "doc_id long, text string").repartition(3)
+    for docs, rows_each in ((copies, None), (tiny, 700)):
+        got = packing.pack(docs, path).collect()
+        groups = collections.Counter(r["sequence_id"] >> 24 for r in got)
+        tokens = collections.Counter()
+        for r in got:
+            tokens[r["sequence_id"] >> 24] += r["length"]
+        total = sum(tokens.values())
+        assert len(groups) >= min(total // (4 * 2048), 40) and max(tokens.values()) <= 2.5 * 4 * 2048
+        if rows_each:
+            assert max(groups.values()) <= rows_each
+
+
 # -- op6 ---------------------------------------------------------------------
 
 def fill(sizes, weights, most):
