@@ -9,14 +9,17 @@ words, then the end id. The tokenizer file is read on the driver and broadcast
 *Pieces.* A document is cut into pieces of at most *piece* tokens: small items
 let windows come out nearly equal.
 
-*Differencing.* The pieces are dealt by hash into groups of about
-``GROUP_WINDOWS`` windows of tokens. In a group every piece starts as a partial
-partition into k windows, all but one empty. The two partial partitions with
+*Differencing.* The pieces are numbered as they are written and dealt by a hash
+of the number, so equal rows part, into groups of about ``GROUP_WINDOWS`` windows
+of tokens and ``GROUP_PIECES`` pieces at most (by expectation). In a group every
+piece starts as a partial partition into k windows, all but one empty (empty
+ones take no room). The two partial partitions with
 the largest imbalance (largest minus smallest window) are merged with opposing
 order, the fullest window of one onto the emptiest of the other, until one is
 left. k starts at the least number of windows that can hold the group and
-rises whenever a window exceeds its capacity. A group is bounded, so no task
-holds more than a group, whatever the table or its hot sources.
+rises whenever a window exceeds its capacity. A group is bounded in tokens and
+pieces, so is a task, whatever the table, its copies, its tiny texts or its hot
+sources.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +43,7 @@ WINDOW = 2048
 PIECE = 512
 END_ID = 1
 GROUP_WINDOWS = 256
+GROUP_PIECES = 1 << 16
 CACHE_WORDS = 1_000_000
 _TAIL = re.compile(rb"([A-Za-z0-9])([,.;:!?])(?=[ \n]|$)")
 
@@ -103,6 +108,7 @@ def _encoder(spec: str) -> WordEncoder:
 def _pieces(spec, piece: int, end_id: int, with_ids: bool):
     def run(batches):
         encoder, end = _encoder(spec.value), np.array([end_id], "<u4").tobytes()
+        place = TaskContext.get().partitionId() << 40
         for batch, texts in text_blocks(batches):
             rows: list[list] = [[], [], [], [], [], []]
             for i, ids in enumerate(encoder.encode(texts)):
@@ -114,39 +120,42 @@ def _pieces(spec, piece: int, end_id: int, with_ids: bool):
                         values.append(x)
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "doc_id").take(pa.array(rows[0], pa.int64())), *(pa.array(x, pa.int64()) for x in rows[1:5]),
-                 pa.array(rows[5], pa.binary())], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+                 pa.array(rows[5], pa.binary()), pa.array(np.arange(place, place + len(rows[0])))],
+                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "place"])
+            place += len(rows[0])
     return run
 
 
 def difference(sizes: np.ndarray, k: int) -> np.ndarray:
-    """The window (0 .. k-1) of each item after k-way largest differencing."""
+    """The window (0 .. k-1) of each item after k-way largest differencing. A
+    partial partition holds its non-empty windows only, fullest first."""
     n = len(sizes)
     left, right = np.full(2 * n, -1), np.full(2 * n, -1)  # a merged window joins two
     made = n
-    heap = []
-    for i, size in enumerate(sizes.tolist()):
-        sums, nodes = np.zeros(k, np.int64), np.full(k, -1)
-        sums[0], nodes[0] = size, i
-        heap.append((-(size if k > 1 else 0), i, sums, nodes))
+    heap = [(-(size if k > 1 else 0), i, np.array([size]), np.array([i])) for i, size in enumerate(sizes.tolist())]
     heapq.heapify(heap)
     order = n
     while len(heap) > 1:
         _, _, a_sums, a = heapq.heappop(heap)
         _, _, b_sums, b = heapq.heappop(heap)
-        sums, b = a_sums + b_sums[::-1], b[::-1]
-        nodes = np.where(a < 0, b, a)
-        both = np.flatnonzero((a >= 0) & (b >= 0))
-        new = np.arange(made, made + len(both))
-        left[new], right[new], nodes[both] = a[both], b[both], new
-        made += len(both)
+        # a's window i meets b's window k - 1 - i: only the last of both overlap.
+        both = max(0, len(a) + len(b) - k)
+        sums = np.concatenate([a_sums, b_sums[:len(b) - both]])
+        nodes = np.concatenate([a, b[:len(b) - both]])
+        if both:
+            at = np.arange(len(a) - both, len(a))
+            new = np.arange(made, made + both)
+            left[new], right[new] = a[at], b[k - 1 - at]
+            sums[at], nodes[at] = a_sums[at] + b_sums[k - 1 - at], new
+            made += both
         by = np.argsort(-sums, kind="stable")
         sums, nodes = sums[by], nodes[by]
-        heapq.heappush(heap, (int(sums[-1] - sums[0]), order, sums, nodes))
+        heapq.heappush(heap, (int((sums[-1] if len(sums) == k else 0) - sums[0]), order, sums, nodes))
         order += 1
     window = np.full(2 * n, -1)
     if heap:
         nodes = heap[0][3]
-        window[nodes[nodes >= 0]] = np.flatnonzero(nodes >= 0)
+        window[nodes] = np.arange(len(nodes))
         for node in range(made - 1, n - 1, -1):
             window[left[node]] = window[right[node]] = window[node]
     return window[:n]
@@ -188,12 +197,12 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, piece: int = PIE
     pieces, _ = keep(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
         .mapInArrow(_pieces(spec, min(piece, window), end_id, with_ids),
-                    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"), "pieces")
+                    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, place long"), "pieces")
     if not with_ids:
         pieces = pieces.drop("ids")
-    total = pieces.agg(F.sum("length")).first()[0] or 0
-    groups = -(-total // (GROUP_WINDOWS * window)) or 1
-    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    total, count = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    groups = max(1, -(-total // (GROUP_WINDOWS * window)), -(-count // GROUP_PIECES))
+    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("place"), F.lit(groups))).drop("place")
     ids = ", ids binary" if with_ids else ""
     return dealt.groupBy("pack_group").applyInPandas(
         _group(window), f"doc_id long, start long, length long, ids_crc32 long, doc_tokens long{ids}, sequence_id long, offset long")
