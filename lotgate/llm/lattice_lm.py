@@ -33,13 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Block, column, text_blocks
+from .blocks import column, text_blocks
 from .tables import discard, keep
 
 ROUNDS = 3
 FLOOR = 0.1  # pseudo-count of each piece
 MARK = b" "
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 3 << 20
 WORDS_AT_ONCE = 1 << 15
 FREQUENT = 1 << 17  # most words whose scores are broadcast
 _SPREAD = 0x9E3779B1
@@ -203,21 +203,22 @@ def _counted(batches):
     into the block's words, counts)."""
     number = TaskContext.get().partitionId() << 32
     for batch, texts in text_blocks(batches, TEXT_BYTES):
-        block = Block(texts)
-        start, end, first = block.words()
+        of_text = [t.lower().split() for t in texts]
+        sizes = np.fromiter(map(len, of_text), np.int64, len(of_text))
+        found = pa.array([w for some in of_text for w in some], pa.large_binary()).dictionary_encode()
+        words, index = found.dictionary.to_pylist(), found.indices.to_numpy()
+        del of_text, found
         held_out = column(batch, "held_out").to_numpy(zero_copy_only=False)
-        sizes = np.diff(first)
         doc = np.repeat(np.arange(len(texts)), sizes)
-        _, at, index = np.unique(block.word_hashes(), return_index=True, return_inverse=True)
-        words = [block.bytes[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())]
-        train = np.bincount(index, ~held_out[doc], len(at)).astype(np.int64)
-        pair, count = np.unique(doc * max(1, len(at)) + index, return_counts=True)
-        bound = np.searchsorted(pair, np.arange(len(texts) + 1) * max(1, len(at)))
-        pair = (pair % max(1, len(at))).astype(np.int32)
+        train = np.bincount(index, ~held_out[doc], len(words)).astype(np.int64)
+        pair, count = np.unique(doc * max(1, len(words)) + index, return_counts=True)
+        del doc, index
+        bound = np.searchsorted(pair, np.arange(len(texts) + 1) * max(1, len(words)))
+        pair = (pair % max(1, len(words))).astype(np.int32)
         count = count.astype(np.int32)
         yield pa.RecordBatch.from_arrays([
             pa.array([number]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.int64()),
-            pa.array([b"\n".join(words).lower()], pa.binary()), pa.array([train.tobytes()], pa.binary())], _names(_BLOCKS))
+            pa.array([b"\n".join(words)], pa.binary()), pa.array([train.tobytes()], pa.binary())], _names(_BLOCKS))
         yield pa.RecordBatch.from_arrays([
             pa.array(np.full(len(texts), number)), column(batch, "doc_id"), column(batch, "held_out"), pa.array(sizes + 1),
             pa.array([pair[a:b].tobytes() for a, b in zip(bound[:-1], bound[1:])], pa.binary()),
