@@ -34,18 +34,49 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+# A Bloom filter of fixed size: two bitmaps of BLOOM_ROWS rows of 4 KB each.
+BLOOM_ROWS = 2048
+_ROW_BITS = 32_768  # bits that bitmap_construct_agg keeps in a row
+
+
+def bloom_restrict(table: DataFrame, col: str, keys: DataFrame, key_col: str) -> DataFrame:
+    """Rows of *table* whose *col* may occur in *keys*, found map-side.
+
+    Each of two hashes of a key sets a bit in a bitmap of BLOOM_ROWS * 32,768
+    bits; the bitmaps (8 MB each, whatever the number of keys) are broadcast and
+    a row passes if its bits are set.  Keys always pass; others seldom, while
+    the keys are fewer than the bits.  An exact join must follow.
+    """
+    for seed in (1, 2):
+        def bit(c: str):
+            return F.pmod(F.xxhash64(F.lit(seed), F.col(c)), F.lit(BLOOM_ROWS * _ROW_BITS))
+        bitmap = keys.where(F.col(key_col).isNotNull()).select(bit(key_col).alias("_bit")).groupBy(
+            F.floor(F.col("_bit") / _ROW_BITS).alias("_row")).agg(F.bitmap_construct_agg(F.col("_bit") % _ROW_BITS).alias("_bits"))
+        probed = table.withColumn("_bit", bit(col)).withColumn("_probe", F.floor(F.col("_bit") / _ROW_BITS))
+        met = probed.join(F.broadcast(bitmap), F.col("_probe") == F.col("_row"))
+        place = (F.col("_bit") % _ROW_BITS).cast("int")
+        byte = F.conv(F.hex(F.expr("substring(_bits, cast(_bit % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
+        table = met.where(F.floor(byte / F.pow(F.lit(2), place % 8)) % 2 == 1).drop("_bit", "_probe", "_row", "_bits")
+    return table
+
+
 def restrict_to_keys(table: DataFrame, col: str, keys: DataFrame, key_col: str,
                      limit: int | None = None, small: bool | None = None) -> DataFrame:
     """Rows of a (large) *table* whose *col* occurs in *keys*.
 
     *keys* is small per run (the names one upload touches); within the bound
     it is broadcast and the table is filtered map-side without a shuffle.
-    *small* passes a size check the caller already made.
+    Beyond it a Bloom filter of fixed size does the same but for a few rows, and
+    the exact join shuffles only what passes.  *small* passes a size check the
+    caller already made.
     """
     k = keys.select(F.col(key_col).alias("_r_key")).distinct()
     if small is None:
         small = fits_broadcast(k, limit)
-    k = F.broadcast(k) if small else k
+    if small:
+        k = F.broadcast(k)
+    else:
+        table = bloom_restrict(table, col, k, "_r_key")
     return table.join(k, table[col] == k["_r_key"], "left_semi")
 
 

@@ -69,15 +69,22 @@ def _rule_columns(s: DataFrame) -> list[Column]:
 def upload_conflicts(rows: DataFrame) -> DataFrame:
     """Batch names whose surviving rows disagree on trimmed DoM or Manufacturer (A-5).
 
-    ``COUNT(DISTINCT x) > 1`` ignoring NULL is ``min(x) <> max(x)``, which needs
-    one partial aggregate and no Expand.
+    ``COUNT(DISTINCT x) > 1`` ignoring NULL is ``min <> max``, which needs one
+    partial aggregate and no Expand.  The least and greatest are those of two
+    64-bit hashes of the text, so the buffers have a fixed width and the plan a
+    hash aggregate: texts whose hashes differ differ, and different texts go
+    unseen only if 128 bits of hash agree.
     """
-    d = trim_spaces(F.col("DoM"))
-    m = trim_spaces(F.col("Manufacturer"))
-    return rows.groupBy("Batch Name").agg(
-        (F.coalesce(F.min(d) != F.max(d), F.lit(False))
-         | F.coalesce(F.min(m) != F.max(m), F.lit(False))).alias("_conflict")
-    )
+    tests = []
+    for name in ("DoM", "Manufacturer"):
+        text = trim_spaces(F.col(name))
+        for seed in (1, 2):
+            mark = F.when(text.isNotNull(), F.xxhash64(F.lit(seed), text))
+            tests.append(F.coalesce(F.min(mark) != F.max(mark), F.lit(False)))
+    conflict = tests[0]
+    for t in tests[1:]:
+        conflict = conflict | t
+    return rows.groupBy("Batch Name").agg(conflict.alias("_conflict"))
 
 
 def survivors_of_row_rules(staging: DataFrame) -> Column:

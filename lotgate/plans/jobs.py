@@ -4,6 +4,7 @@
     history_migration  -> flat history file to the six tables (M-1, M-2)
     batch_validation   -> upload folder through the gate; audit, staging, valid set (R-1, R-2)
     batch_load         -> valid set into batch and result; dry run unless committed (L-1 to L-3, U-7)
+    verify_store       -> violated constraints of the stored tables (Q-1 to Q-3)
 
 Validation and load share only the stored valid-staging table, as two
 separate processes would.  Each job computes its whole next state first and
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotgate.operators.constraints import constraint_report
 from lotgate.plans.load import Load, recurring_load
 from lotgate.plans.migrate import migration_summary, migrate_history
 from lotgate.plans.publish import Append, ModelStore
@@ -69,6 +71,13 @@ def batch_validation(spark: SparkSession, root: str, upload_folder: str,
     return ValidationRun(val, run_id)
 
 
+def verify_store(spark: SparkSession, root: str) -> list[str]:
+    """Every violated constraint of the published tables (Q-1 to Q-3): duplicate
+    keys, NULLs in required columns, references without a parent.  The other
+    jobs check what they insert; this reads the whole store."""
+    return constraint_report(ModelStore(root, spark).read_model())
+
+
 def batch_load(spark: SparkSession, root: str, commit: bool = False) -> Load:
     """Load the stored valid staging rows.  Without *commit* nothing is
     published (a dry run); duplicate input raises before any write."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lotgate.functions.numbers import canonical_value
 from lotgate.operators.audit import audit_rejections, rejections_by_stage, validation_counts
+from lotgate.operators.constraints import check_inserted
 from lotgate.operators.rules import label_rows
 from lotgate.plans.publish import Snapshot
 from lotgate.schemas import empty_table
@@ -61,6 +62,7 @@ def validate_uploads(submissions: DataFrame, model: dict[str, DataFrame],
         audit_table = empty_table(spark, "rejected_records")
     known = model.max_id("rejected_records") if isinstance(model, Snapshot) and "rejected_records" in model else None
     audited = audit_rejections(staged, audit_table, ts, known)
+    check_inserted({"rejected_records": audited.inserted})
     return Validation(
         staged=staged,
         valid=stage_valid(staged),

@@ -250,3 +250,31 @@ def test_all_digit_names_and_blank_columns_do_not_abort(spark):
     assert [r.rejection_stage for r in v.staged.orderBy("Batch Name").collect()] == [None, None]
     ld = recurring_load(v.valid, m)
     assert sorted(r.action for r in ld.classified.collect()) == ["new", "updated"]
+
+
+def test_keys_beyond_the_bound_filter_by_a_bloom_filter(spark):
+    from lotgate.operators.lookups import bloom_restrict, restrict_to_keys
+
+    table = spark.range(50_000).selectExpr("concat('k', id) AS k", "id AS n").union(spark.sql("SELECT CAST(NULL AS STRING), -1L"))
+    keys = spark.range(0, 50_000, 7).selectExpr("concat('k', id) AS h").union(spark.sql("SELECT CAST(NULL AS STRING)"))
+    passed = bloom_restrict(table, "k", keys, "h")
+    assert passed.columns == table.columns
+    names = {r["k"] for r in passed.collect()}
+    wanted = {f"k{i}" for i in range(0, 50_000, 7)}
+    assert wanted <= names and len(names) < len(wanted) * 1.05  # every key, few others
+    exact = restrict_to_keys(table, "k", keys, "h", small=False)
+    assert {r["k"] for r in exact.collect()} == wanted == {r["k"] for r in restrict_to_keys(table, "k", keys, "h", small=True).collect()}
+    empty = restrict_to_keys(table, "k", keys.limit(0), "h", small=False)
+    assert empty.count() == 0
+
+
+def test_conflicts_of_an_upload_use_a_hash_aggregate(spark):
+    from lotgate.operators.rules import upload_conflicts
+
+    rows = frame(spark, [("A", "M", "1/1/2026", "P", "U", "T", "1"), ("A", " M ", "1/1/2026 ", "P", "U", "T", "2"), ("B", "M", "1/1/2026", "P", "U", "T", "1"),
+                         ("B", "N", "1/1/2026", "P", "U", "T", "1"), ("C", None, "1/1/2026", "P", "U", "T", "1"), ("C", "M", "1/1/2026", "P", "U", "T", "1"),
+                         ("D", None, "1/1/2026", "P", "U", "T", "1"), ("E", "M", "1/2/2026", "P", "U", "T", "1"), ("E", "M", "1/1/2026", "P", "U", "T", "1")])
+    found = upload_conflicts(rows)
+    assert {r["Batch Name"]: r["_conflict"] for r in found.collect()} == {"A": False, "B": True, "C": False, "D": False, "E": True}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -118,3 +118,34 @@ def test_history_runs_append(spark, store):
     assert {t: model.n_rows(t) for t in MODEL_TABLES} == {t: model[t].count() for t in MODEL_TABLES}
     assert model.n_rows("batch") == 41 and model.n_rows("manufacturer") == 2 and model.n_rows("result") == 81
     assert sorted(r["batch_id"] for r in model["batch"].collect()) == list(range(1, 42))
+
+
+def test_verify_reports_every_broken_constraint(spark, store):
+    from lotgate.plans.jobs import verify_store
+
+    assert verify_store(spark, store.root) == []
+    batch, process = store.read("batch"), store.read("process")
+    store.publish({"batch": Append(batch.where("batch_id = 1").selectExpr("99 AS batch_id", "batch_name", "dom", "7 AS manufacturer_id")),
+                   "process": Append(process.selectExpr("5 AS process_id", "'P2' AS process_name").unionByName(
+                       process.selectExpr("5 AS process_id", "'P3' AS process_name")))}, run_id="broken")
+    assert sorted(verify_store(spark, store.root)) == [
+        "batch: duplicate batch_name", "batch: manufacturer_id without a row in manufacturer", "process: duplicate process_id"]
+
+
+def test_inserted_rows_of_every_table_are_checked(spark):
+    from lotgate.operators.constraints import ConstraintViolation, check_inserted
+    from lotgate.schemas import KEYS, SCHEMAS
+
+    for name, keys in KEYS.items():
+        def value(field, i):
+            return {"string": f"x{i}", "bigint": i, "double": 1.0, "date": None, "timestamp": None}[field.dataType.simpleString()]
+        rows = [[value(f, i) for f in SCHEMAS[name]] for i in (1, 2)]
+        nullable = conform(spark.createDataFrame([], SCHEMAS[name]), name).selectExpr(*[f"nullif({f.name}, {f.name}) AS {f.name}" for f in SCHEMAS[name]]).schema
+        check_inserted({name: spark.createDataFrame(rows, nullable)})
+        twice = [rows[0], [rows[0][SCHEMAS[name].fieldNames().index(c)] if c in keys.business_key else x for c, x in zip(SCHEMAS[name].fieldNames(), rows[1])]]
+        with pytest.raises(ConstraintViolation, match=f"{name}: duplicate"):
+            check_inserted({name: spark.createDataFrame(twice, nullable)})
+        for column in keys.not_null:
+            missing = [[None if c == column else x for c, x in zip(SCHEMAS[name].fieldNames(), rows[0])]]
+            with pytest.raises(ConstraintViolation, match=f"{name}: 1 NULL"):
+                check_inserted({name: spark.createDataFrame(missing, nullable)})
