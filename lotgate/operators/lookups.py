@@ -80,6 +80,46 @@ def restrict_to_keys(table: DataFrame, col: str, keys: DataFrame, key_col: str,
     return table.join(k, table[col] == k["_r_key"], "left_semi")
 
 
+HEAVY_NAMES = 100
+HEAVY_SHARE = 200  # a name is heavy from this part of the rows on
+
+
+def heavy_names(rows: DataFrame, col: str) -> list[str]:
+    """The names that hold more than a 200th of *rows*: HEAVY_NAMES at most, from
+    an approximate top-k sketch that tasks merge (no shuffle of the rows)."""
+    found = rows.where(F.col(col).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{col}`, {HEAVY_NAMES}, 10000)").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return sorted(r["item"] for r in found["top"] or [] if r["count"] * HEAVY_SHARE > found["n"])
+
+
+def spread_join(rows: DataFrame, col: str, table: DataFrame, key: str, inner: bool = False) -> DataFrame:
+    """*rows* with the columns of *table* (unique on *key*) where ``col = key``: a
+    left join by shuffle, or an inner one, in which no name gathers rows.
+
+    Heavy names meet their table rows by broadcast (HEAVY_NAMES rows at most).
+    In the shuffle join, rows of heavy names and rows without a name have a hash
+    of the row as key, which no name is, so they spread over all tasks.
+    """
+    heavy = heavy_names(rows, col)
+    values = [c for c in table.columns if c != key]
+    is_heavy = F.coalesce(F.col(col).isin(heavy), F.lit(False)) if heavy else F.lit(False)
+    named = F.when(~is_heavy & (F.trim(F.col(col)) != ""), F.col(col))
+    known = table.select(F.concat(F.lit("n"), F.col(key)).alias("_j_key"), *[F.col(c).alias(f"_j_{c}") for c in values], F.lit(True).alias("_j_met"))
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("string")
+    out = rows.withColumn("_k_key", F.when(named.isNull(), F.concat(F.lit("row "), whole)).otherwise(F.concat(F.lit("n"), named)))
+    out = out.join(known, F.col("_k_key") == F.col("_j_key"), "left")
+    found = {c: F.col(f"_j_{c}") for c in values}
+    met = F.col("_j_met")
+    if heavy:
+        few = table.where(F.col(key).isin(heavy)).select(F.col(key).alias("_f_key"), *[F.col(c).alias(f"_f_{c}") for c in values], F.lit(True).alias("_f_met"))
+        out = out.join(F.broadcast(few), F.col(col) == F.col("_f_key"), "left")
+        found = {c: F.coalesce(F.col(f"_j_{c}"), F.col(f"_f_{c}")) for c in values}
+        met = F.coalesce(met, F.col("_f_met"))
+    if inner:
+        out = out.where(met)
+    return out.select(*[F.col(f"`{c}`") for c in rows.columns], *[v.alias(c) for c, v in found.items()])
+
+
 def bounded_broadcast_all(dims: list[DataFrame], limit: int | None = None) -> list[DataFrame]:
     """:func:`bounded_broadcast` for several frames, sized in one job."""
     if not dims:
@@ -151,13 +191,15 @@ def resolve_keys(rows: DataFrame, batch: DataFrame, hier: DataFrame) -> DataFram
     The hierarchy is reference data and is broadcast behind a size check.  The
     batch table grows with the data: when the rows name few enough batches it
     is filtered map-side by a broadcast of those names and the result is
-    broadcast; otherwise it is a shuffle join on the batch name.
+    broadcast; otherwise it is a shuffle join on the batch name in which a hot
+    batch does not gather its rows (:func:`spread_join`).
     """
     with_param = resolve_parameter(rows, hier)
     named = with_param.select("Batch Name").distinct()
-    if fits_broadcast(named):
-        # Few batch names per run: filter the batch table map-side and
-        # broadcast the matching rows, so nothing large shuffles.
-        batch = F.broadcast(restrict_to_keys(batch, "batch_name", named, "Batch Name", small=True))
+    if not fits_broadcast(named):
+        return spread_join(with_param, "Batch Name", batch.select("batch_name", "batch_id"), "batch_name", inner=True)
+    # Few batch names per run: filter the batch table map-side and
+    # broadcast the matching rows, so nothing large shuffles.
+    batch = F.broadcast(restrict_to_keys(batch, "batch_name", named, "Batch Name", small=True))
     b = batch.select(F.col("batch_name").alias("_b_name"), "batch_id")
     return with_param.join(b, with_param["Batch Name"] == b["_b_name"], "inner").drop("_b_name")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from lotgate.functions.dates import parse_dom
 from lotgate.functions.text import is_blank, trim_spaces
 from lotgate.operators.lookups import (
-    bounded_broadcast_all, fits_broadcast, hierarchy_dim, restrict_to_keys, unit_operation_dim,
+    bounded_broadcast_all, fits_broadcast, hierarchy_dim, restrict_to_keys, spread_join, unit_operation_dim,
 )
 from lotgate.session import materialize
 
@@ -121,7 +121,9 @@ def label_rows(staging: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     if small:
         # The verdict goes to the rows by broadcast: the submissions are not shuffled.
         per_batch = F.broadcast(per_batch)
-    s = s.join(per_batch, s["Batch Name"] == per_batch["_pb_name"], "left").drop("_pb_name")
+        s = s.join(per_batch, s["Batch Name"] == per_batch["_pb_name"], "left").drop("_pb_name")
+    else:
+        s = spread_join(s, "Batch Name", per_batch, "_pb_name")
 
     # Rules 5-8: unique-key reference dimensions, sized together in one job.
     m, p, u, h = bounded_broadcast_all([

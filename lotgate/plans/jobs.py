@@ -24,6 +24,7 @@ from lotgate.plans.migrate import migration_summary, migrate_history
 from lotgate.plans.publish import Append, ModelStore
 from lotgate.plans.validate import Validation, validate_uploads
 from lotgate.schemas import MODEL_TABLES
+from lotgate.session import materialize
 from lotgate.sources.uploads import read_history, read_uploads
 
 STAGING_TABLE = "stg_manufacturing_data"
@@ -43,7 +44,8 @@ def history_migration(spark: SparkSession, root: str, source: str,
     ``skipped_history``, the number of rows that could not be stored.  Those
     rows are published under that name in the same commit."""
     store = ModelStore(root, spark)
-    mig = migrate_history(read_history(spark, source, multiline), store.read_model(), run_ts=run_ts)
+    history = materialize(read_history(spark, source, multiline), "history")  # parsed once, read by several steps
+    mig = migrate_history(history, store.read_model(), run_ts=run_ts)
     store.publish({**{k: Append(mig.inserted[k]) for k in MODEL_TABLES}, SKIPPED_TABLE: mig.skipped}, run_id="history")
     model = dict(store.read_model())
     skipped = model.pop(SKIPPED_TABLE).agg(F.lit(SKIPPED_TABLE).alias("table_name"), F.count("*").alias("record_count"))
@@ -62,7 +64,8 @@ def batch_validation(spark: SparkSession, root: str, upload_folder: str,
     """Validate every ``*.csv`` in *upload_folder* (the folder is re-read on
     every run, as the uploads are never moved); publish audit and staging."""
     store = ModelStore(root, spark)
-    val = validate_uploads(read_uploads(spark, upload_folder, multiline), store.read_model(), run_ts=run_ts)
+    uploads = materialize(read_uploads(spark, upload_folder, multiline), "uploads")  # parsed once, read by the gate twice
+    val = validate_uploads(uploads, store.read_model(), run_ts=run_ts)
     run_id = store.publish({
         "rejected_records": Append(val.audit_inserted),
         STAGING_TABLE: val.staged.drop("rejection_rule"),

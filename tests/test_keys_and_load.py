@@ -278,3 +278,46 @@ def test_conflicts_of_an_upload_use_a_hash_aggregate(spark):
     assert {r["Batch Name"]: r["_conflict"] for r in found.collect()} == {"A": False, "B": True, "C": False, "D": False, "E": True}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_hot_and_missing_names_spread_over_the_shuffle(spark):
+    """A third of the rows in one batch, a third without a name, no broadcast of
+    the table, no help by AQE: no task holds more than three times the median."""
+    from lotgate.operators.lookups import heavy_names, spread_join
+
+    rows = spark.range(12_000).selectExpr(
+        "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN CASE id % 2 WHEN 0 THEN '  ' END ELSE concat('b', id % 3000) END AS name", "id AS `Row No`")
+    table = spark.range(3000).selectExpr("concat('b', id) AS key", "id AS v").union(spark.sql("SELECT 'hot', CAST(-1 AS BIGINT)"))
+    assert heavy_names(rows, "name") == ["  ", "hot"]
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = spread_join(rows, "name", table, "key")
+        found = joined.withColumn("task", F.spark_partition_id()).collect()
+        inner = spread_join(rows, "name", table, "key", inner=True).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert joined.columns == ["name", "Row No", "v"] and len(found) == 12_000 and inner == 8_000
+    for r in found:
+        assert r["v"] == (-1 if r["name"] == "hot" else int(r["name"][1:]) if (r["name"] or "").startswith("b") else None)
+    sizes = sorted(sum(r["task"] == t for r in found) for t in {r["task"] for r in found})
+    assert len(sizes) == 8 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    none = spread_join(rows.limit(0), "name", table, "key")
+    assert none.count() == 0
+
+
+def test_reports_are_sorted(spark):
+    """The place of each row in the duplicate report and the summary by stage (O-1, O-2)."""
+    from lotgate.operators.audit import rejections_by_stage
+    from lotgate.operators.constraints import duplicate_results
+
+    names = [(f"B{i % 7}", f"P{i % 3}", f"U{i % 2}", f"T{i % 5}") for i in range(420)]
+    valid = spark.createDataFrame(names, ["Batch Name", "Process", "Unit Operation", "Parameter"]).repartition(5)
+    report = [tuple(r)[:4] for r in duplicate_results(valid).collect()]
+    assert report == sorted(set(names)) and len(report) > 100
+    staged = spark.createDataFrame([(i % 4 > 0, f"stage {i % 9}") for i in range(300)], "is_rejected boolean, rejection_stage string").repartition(5)
+    stages = [r["rejection_stage"] for r in rejections_by_stage(staged).collect()]
+    assert stages == sorted(stages) and len(stages) == 9
