@@ -132,12 +132,19 @@ def difference(sizes: np.ndarray, k: int) -> np.ndarray:
     n = len(sizes)
     left, right = np.full(2 * n, -1), np.full(2 * n, -1)  # a merged window joins two
     made = n
-    heap = [(-(size if k > 1 else 0), i, np.array([size]), np.array([i])) for i, size in enumerate(sizes.tolist())]
+    heap = [(-(size if k > 1 else 0), i, [size], [i]) for i, size in enumerate(sizes.tolist())]
     heapq.heapify(heap)
     order = n
     while len(heap) > 1:
         _, _, a_sums, a = heapq.heappop(heap)
         _, _, b_sums, b = heapq.heappop(heap)
+        if len(a) + len(b) <= min(8, k):  # most merges: few windows, none of them meet
+            pairs = sorted(zip([*a_sums, *b_sums], [*a, *b]), key=lambda x: -x[0])
+            sums, nodes = [x for x, _ in pairs], [x for _, x in pairs]
+            heapq.heappush(heap, ((sums[-1] if len(sums) == k else 0) - sums[0], order, sums, nodes))
+            order += 1
+            continue
+        a_sums, a, b_sums, b = map(np.asarray, (a_sums, a, b_sums, b))
         # a's window i meets b's window k - 1 - i: only the last of both overlap.
         both = max(0, len(a) + len(b) - k)
         sums = np.concatenate([a_sums, b_sums[:len(b) - both]])
@@ -154,7 +161,7 @@ def difference(sizes: np.ndarray, k: int) -> np.ndarray:
         order += 1
     window = np.full(2 * n, -1)
     if heap:
-        nodes = heap[0][3]
+        nodes = np.asarray(heap[0][3])
         window[nodes] = np.arange(len(nodes))
         for node in range(made - 1, n - 1, -1):
             window[left[node]] = window[right[node]] = window[node]
