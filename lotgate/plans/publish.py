@@ -87,6 +87,7 @@ class Snapshot(Mapping):
         for row in sorted(log, key=lambda r: (r["seq"], (r["kind"] or "replace") != "replace")):
             name, kind = row["table_name"], row["kind"] or "replace"
             entries = self._entries.setdefault(name, [])
+            self._max_ids.setdefault(name, 0)
             if kind == "replace":
                 entries.clear()
                 self.widths.pop(name, None)
