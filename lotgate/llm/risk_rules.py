@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .tables import SPACE, keep
 
 RISK, ERROR = 0.10, 0.05
+MOST_STRATA = 100_000  # cutoffs of more strata are joined by shuffle
 
 #: rule -> (rate, sign, cutoffs lax to strict); rejects if sign * rate > sign * cutoff.
 RULES: dict[str, tuple[str, int, list[float]]] = {
@@ -178,7 +179,11 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
     found = F.struct("stratum", *COUNTS, "text_hash")
     of_document = counts.where("not base_failed").join(marks, "doc_id").groupBy("doc_id").agg(F.min(found).alias("x"), F.max("good").alias("good"))
     trials = of_document.select("x.*", "good").groupBy("stratum", "text_hash").agg(*(F.min(c).alias(c) for c in COUNTS), F.max("good").alias("good"))
-    cuts = safe_cutoffs(trials, risk, error)
+    # A row per stratum: written, then broadcast behind a check of its size, so
+    # that no stratum gathers its documents.
+    cuts, _ = keep(safe_cutoffs(trials, risk, error), "rule_cutoffs")
+    if cuts.limit(MOST_STRATA + 1).count() <= MOST_STRATA:
+        cuts = F.broadcast(cuts)
     hit = F.lit(False)
     for rule in RULES:
         hit = hit | F.coalesce(_rejects(rule, F.col(f"cut_{rule}")), F.lit(False))
