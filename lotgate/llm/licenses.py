@@ -220,24 +220,29 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
                     F.coalesce("line_licences", F.lit("")).alias("line_licences")))
 
 
+def _re2(pattern: str) -> str:
+    """A pattern above in the syntax of DuckDB."""
+    return re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", pattern)
+
+
 def _sql_canonical(text: str) -> str:
-    out = f"regexp_replace(translate({text}, '{_UPPER}', '{_LOWER}'), '(^|\\n)[ \\t]*(copyright|\\(c\\)|©)[^\\n]*', chr(10), 'g')"
-    out = f"(' ' || regexp_replace({out}, '{MARKS}', ' ', 'g') || ' ')"
+    out = f"regexp_replace(translate({text}, '{_UPPER}', '{_LOWER}'), '{_re2(COPYRIGHT)}', chr(10), 'g')"
+    out = f"(' ' || regexp_replace({out}, '{_re2(FOLDED)}', ' ', 'g') || ' ')"
     for one, other in SPELLINGS:
         out = f"replace({out}, '{one}', '{other}')"
     return f"trim({out})"
 
 
 def oracle_sql() -> str:
-    """DuckDB SQL for :func:`scan` over documents."""
-    rows = [(spdx, text) for table in (NOTICES, {k: [v] for k, v in TEXTS.items()}) for spdx, texts in table.items() for text in texts]
-    values = ", ".join("('" + spdx + "', '" + text.replace("'", "''") + "')" for spdx, text in rows)
+    """DuckDB SQL for :func:`scan` over documents. The table of known digests
+    is given to both; texts are brought to their canonical form here by
+    DuckDB's own functions."""
+    values = ", ".join(f"('{digest}', '{spdx}')" for digest, spdx in _known())
     return f"""
-with k as (select distinct sha256({_sql_canonical('t')}) as digest, licence from (values {values}) v(licence, t)),
-d as (select doc_id, coalesce(text, '') as text from documents),
-l as (select doc_id, unnest(string_split(text, chr(10))) as line from d),
-f as (select doc_id, count(*) as n, string_agg(distinct licence, ' ' order by licence) as licences
-      from l join k on sha256({_sql_canonical('line')}) = k.digest group by doc_id)
-select d.doc_id, sha256({_sql_canonical('d.text')}) as digest, (select min(licence) from k where k.digest = sha256({_sql_canonical('d.text')})) as licence,
-  coalesce(f.n, 0)::bigint as n_licence_lines, coalesce(f.licences, '') as line_licences
-from d left join f on d.doc_id = f.doc_id"""
+with k(digest, licence) as (values {values}),
+d as (select doc_id, text, sha256({_sql_canonical('text')}) as digest from (select doc_id, coalesce(text, '') as text from documents)),
+l as (select doc_id, sha256({_sql_canonical('line')}) as digest from (select doc_id, unnest(string_split(text, chr(10))) as line from d)),
+f as (select doc_id, count(*) as n, string_agg(distinct licence, ' ' order by licence) as licences from l join k using (digest) group by doc_id),
+w as (select digest, min(licence) as licence from k group by digest)
+select d.doc_id, d.digest, w.licence, coalesce(f.n, 0)::bigint as n_licence_lines, coalesce(f.licences, '') as line_licences
+from d left join w using (digest) left join f on d.doc_id = f.doc_id"""

@@ -47,6 +47,30 @@ def test_ordinal_gradient_and_order():
     assert np.corrcoef(above.sum(1), grade)[0, 1] > 0.9
 
 
+def test_fit_ends_where_the_numeric_gradient_is_zero(monkeypatch):
+    """The penalised log likelihood, written out row by row, has no slope left
+    in any weight or threshold."""
+    for name, value in {"STEPS": 3000, "RATE": 0.02, "PENALTY": 0.01}.items():
+        monkeypatch.setattr(ordinal_toxicity, name, value)
+    rng = np.random.default_rng(4)
+    doc, bucket = np.repeat(np.arange(150), 4), rng.integers(0, 12, 600)
+    value = rng.uniform(0.5, 2, 600)
+    grade = np.clip(np.bincount(doc, bucket < 3) + rng.integers(-1, 2, 150), 0, 2).astype(int)
+    model = ordinal_toxicity.fit(doc, bucket, value, grade, 16)
+
+    def objective(x):
+        w, t = x[:12], x[12:]
+        total = 0.0
+        for i in range(150):
+            score = sum(w[b] * v for d, b, v in zip(doc, bucket, value) if d == i)
+            above = [1.0, *(1 / (1 + math.exp(cut - score)) for cut in t), 0.0]
+            total += math.log(above[grade[i]] - above[grade[i] + 1])
+        return total / 150 - 0.01 / 2 * sum(y * y for y in w)
+    at = np.concatenate([model.weights[:12], model.thresholds])
+    slopes = [(objective(at + step) - objective(at - step)) / 2e-5 for step in np.eye(14) * 1e-5]
+    assert np.abs(slopes).max() < 1e-3 and np.abs(model.weights[:12]).max() > 0.3
+
+
 def test_severity_edge_rows(spark, docs, none, labels):
     toxic = labels.select("doc_id", "toxic")
     assert ordinal_toxicity.severity(none, toxic).count() == 0
@@ -422,6 +446,25 @@ def test_canonical_text_in_python_and_spark(spark):
     assert [r[0] for r in got] == [licenses.canonical_text(t) for t in texts]
 
 
+def test_sql_and_operator_agree_on_whole_texts(spark):
+    """The DuckDB form on licences as published, in typographic marks, in
+    comments, with statements dropped, and on the corpus of odd texts."""
+    import duckdb
+    import pandas as pd
+
+    typographic = str.maketrans({"'": "\u2019", '"': "\u201d", "-": "\u2013", " ": "\u00a0"})
+    texts = [x for _, t in licenses.whole_texts() for x in (t, t.translate(typographic), _wrapped(t, 70, " * "), t.replace("\n", "\r\n"))]
+    texts += ["// \u201cLicensed under the MIT License.\u201d\nLicensed under CC BY\u2011NC\u00a04.0\nx", "\u00a9 2020 me\nlicence", "# Copyright [yyyy] x\rau\n(c) 1999",
+              "\uff0a copyright yearly\ncopyright year\ncopyright \u2014 (C) a", *(r[1] for r in corpus())]
+    rows = list(enumerate(texts))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    want = con.sql(licenses.oracle_sql())
+    assert sorted(tuple(r[c] for c in want.columns) for r in got) == sorted(want.fetchall())
+    assert sum(r["licence"] is not None for r in got) >= 4 * len(licenses.whole_texts())
+
+
 # -- op8 ---------------------------------------------------------------------
 
 def test_resampling_prefers_the_target(spark, docs, none, labels):
@@ -441,6 +484,39 @@ def test_resampling_prefers_the_target(spark, docs, none, labels):
     assert everything.where("kept").count() == len(corpus())
 
 
+def test_importances_and_draw_match_plain_counts(spark):
+    """Log importances from counts of words and pairs, the noise from whole
+    numbers, and the k largest sums, all in plain Python."""
+    rng = np.random.default_rng(8)
+    rows = [(i * 7 - 20, random_words(rng, int(rng.integers(0, 30)), 12)) for i in range(60)]
+    marks = [(i, int(i % 3 > 0)) for i, _ in rows[::2]]
+    buckets = 1 << 20
+    got = importance.resample(spark.createDataFrame(rows, "doc_id long, text string").repartition(3),
+                              spark.createDataFrame(marks, "doc_id long, quality int"), buckets=buckets, seed=5).collect()
+
+    def grams(text):
+        words = text.split()
+        return words + list(zip(words, words[1:]))
+
+    def spread(x):
+        for _ in range(2):
+            x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 % 2 ** 64
+        return x ^ x >> 32
+    good = {i for i, quality in marks if quality}
+    raw = collections.Counter(g for _, t in rows for g in grams(t))
+    target = collections.Counter(g for i, t in rows if i in good for g in grams(t))
+    gap = math.log(raw.total() + buckets) - math.log(target.total() + buckets)
+    keys = {}
+    for r in got:
+        text = dict(rows)[r["doc_id"]]
+        want = sum(math.log(target[g] + 1) - math.log(raw[g] + 1) + gap for g in grams(text))
+        assert r["n_grams"] == len(grams(text)) and math.isclose(r["log_importance"], want, abs_tol=1e-9)
+        uniform = (spread((spread(r["doc_id"] % 2 ** 64) + 5) % 2 ** 64) >> 11) / 2 ** 53
+        keys[r["doc_id"]] = want - math.log(-math.log(uniform))
+    k = round(len(good) / len(marks) * len(rows))
+    assert {r["doc_id"] for r in got if r["kept"]} == set(sorted(keys, key=keys.get)[-k:])
+
+
 def test_kth_largest(spark):
     values = [5, -7, 0, 1 << 62, -(1 << 63), 5, 3, -1, (1 << 63) - 1, 12345678901]
     frame = spark.createDataFrame([(x,) for x in values], "key long")
