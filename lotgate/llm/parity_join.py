@@ -42,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import Block, column, mix, shingle_sets, signed, text_blocks
@@ -55,7 +55,7 @@ COUNT_SLICES = 16
 BITMAP_BYTES = 1 << 21
 FLUSH = 1 << 20  # offers that a task holds before it hands them on
 STAR_OF = 8
-SPREAD = 256
+SPREAD = 2048  # rows of a group's buckets, about, that go to one task
 GRID = 2048  # members of a bucket that one task compares
 PAIRS_AT_ONCE = 1 << 17
 
@@ -413,10 +413,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         shared, shared_path = keep(buckets.where("key is not null").select("key", F.col("a").alias("f1"))
                                    .join(members, "f1").select("key", "rep", "component"), "shared")
         # Buckets of one group of documents go to one task, where their pairs are
-        # found once; the larger a bucket, the more tasks its group is dealt to.
+        # found once; the more rows all its buckets have, the more tasks it is
+        # dealt to. A home is a member of its buckets, so it has few of them.
         mixed = (shared.groupBy("key").agg(F.countDistinct("component").alias("c"), F.count("*").alias("n"), F.min("rep").alias("home"))
-                 .where("c > 1").select("key", "home", (F.col("n") / GRID).cast("int").alias("last"),
-                                        F.pmod(F.xxhash64("key"), F.col("n") / SPREAD + 1).cast("int").alias("deal")))
+                 .where("c > 1").withColumn("rows", F.sum("n").over(Window.partitionBy("home")))
+                 .select("key", "home", (F.col("n") / GRID).cast("int").alias("last"),
+                         F.pmod(F.xxhash64("key"), (F.col("rows") / SPREAD).cast("int") + 1).cast("int").alias("deal")))
         grid = (shared.join(mixed, "key")
                 .withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("last") + 1).cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
@@ -446,8 +448,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of *docs* that stay when one document of each component does
     (the one with the least doc_id), in all their columns. Of several rows with
-    one doc_id one stays; rows with a null doc_id all do."""
+    one doc_id one stays, that with the least hash of its columns, so reruns
+    agree; rows with a null doc_id all do."""
     found = near_duplicates(docs.select("doc_id", "text"), n, percent)
     stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    return (docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    row = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns))
+    return (docs.join(stay, "doc_id", "left_semi").groupBy("doc_id").agg(row.alias("row")).select("row.*")
             .unionByName(docs.where("doc_id is null")))

@@ -78,10 +78,12 @@ def test_near_duplicates_at_the_threshold(spark):
     check_near(spark, rows)
 
 
-def test_near_duplicates_in_large_mixed_groups(spark, monkeypatch):
+@pytest.mark.parametrize("spread", [16, 2048])
+def test_near_duplicates_in_large_mixed_groups(spark, monkeypatch, spread):
     """Chains of drifting copies that share a passage with unlike documents;
     the grid of large buckets is used."""
     monkeypatch.setattr(parity_join, "GRID", 8)
+    monkeypatch.setattr(parity_join, "SPREAD", spread)
     rng = np.random.default_rng(9)
     passage = random_words(rng, 40, 10 ** 6)
     rows = [(i, f"{random_words(rng, 25, 10 ** 6)} {passage} {random_words(rng, 20, 10 ** 6)}") for i in range(40)]
@@ -105,6 +107,17 @@ def test_near_duplicates_edge_rows(spark, docs, none):
     assert representatives(none).count() == 0
 
 
+def test_representatives_of_rows_that_share_an_id(spark):
+    """Two texts with one id: the same row stays however the rows lie."""
+    rng = np.random.default_rng(6)
+    rows = [(i % 10, random_words(rng, 40, 10 ** 6), f"src{i}") for i in range(40)]
+    stayed = set()
+    for parts, turned in ((1, rows), (3, rows[::-1]), (5, rows[7:] + rows[:7])):
+        frame = spark.createDataFrame(turned, "doc_id long, text string, row string").repartition(parts)
+        stayed.add(tuple(sorted(map(tuple, representatives(frame).collect()))))
+    assert len(stayed) == 1 and [r[0] for r in next(iter(stayed))] == list(range(10))
+
+
 def brute_repeats(rows, length):
     """rows: (doc_id, bytes) with distinct ids, in any order."""
     seen, out = {}, {}
