@@ -22,6 +22,7 @@ from lotgate.operators.constraints import constraint_report
 from lotgate.plans.load import Load, recurring_load
 from lotgate.plans.migrate import migration_summary, migrate_history
 from lotgate.plans.publish import Append, ModelStore
+from lotgate.plans.reread import parsed_uploads
 from lotgate.plans.validate import Validation, validate_uploads
 from lotgate.schemas import MODEL_TABLES
 from lotgate.session import materialize
@@ -60,13 +61,20 @@ class ValidationRun:
 
 
 def batch_validation(spark: SparkSession, root: str, upload_folder: str,
-                     run_ts: Column | None = None, multiline: bool = False) -> ValidationRun:
+                     run_ts: Column | None = None, multiline: bool = False, reuse: bool = True) -> ValidationRun:
     """Validate every ``*.csv`` in *upload_folder* (the folder is re-read on
-    every run, as the uploads are never moved); publish audit and staging."""
+    every run, as the uploads are never moved); publish audit and staging.
+    With *reuse* only new and changed files are parsed (:mod:`.reread`)."""
     store = ModelStore(root, spark)
-    uploads = materialize(read_uploads(spark, upload_folder, multiline), "uploads")  # parsed once, read by the gate twice
-    val = validate_uploads(uploads, store.read_model(), run_ts=run_ts)
+    model = store.read_model()
+    if reuse:
+        parsed = parsed_uploads(spark, upload_folder, model, multiline)
+        uploads, changes = parsed.rows, parsed.changes
+    else:
+        uploads, changes = materialize(read_uploads(spark, upload_folder, multiline), "uploads"), {}
+    val = validate_uploads(uploads, model, run_ts=run_ts)
     run_id = store.publish({
+        **changes,
         "rejected_records": Append(val.audit_inserted),
         STAGING_TABLE: val.staged.drop("rejection_rule"),
         VALID_TABLE: val.valid,

@@ -116,7 +116,8 @@ class Snapshot(Mapping):
         if not paths:
             return empty_table(self.spark, name)
         schema = SCHEMAS.get(name)
-        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        # Appended folders of a table without a declared schema may differ in columns.
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read.option("mergeSchema", str(len(paths) > 1).lower())
         return reader.parquet(*paths)
 
     def paths(self, name: str) -> list[str]:
