@@ -3,13 +3,16 @@
 The rank is computed without a global window and without pulling rows to the
 driver:
 
-1. range-partition the new keys and sort inside each partition, so partition
+1. write the new rows once (unless they are a scan of a written table), so that
+   the joins behind them run once and the range bounds are sampled from files;
+2. range-partition the new keys and sort inside each partition, so partition
    ``i`` holds only keys below those of partition ``i + 1``;
-2. tag every row with its partition and its position in the partition, and
+3. tag every row with its partition and its position in the partition, and
    write the tagged rows as Parquet to the shared checkpoint folder, so a
    lost executor cannot renumber them;
-3. count rows per partition (one small row per partition reaches the driver),
-   turn the counts into starting offsets, and add them as a literal array.
+4. count rows per partition (one small row per partition reaches the driver),
+   turn the counts into starting offsets, and join them as a frame with a row
+   per partition, so the plan does not grow with the partitions.
 
 Because the keys are unique and the partitions are ordered, the id is the
 global rank whatever the partition boundaries are, so a rerun over the same
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +31,7 @@ from lotgate.session import ensure_checkpoint_dir, materialize
 
 _PART = "_k1_part"
 _POS = "_k1_pos"
+_BASE = "_k1_base"
 
 
 def current_max(table: DataFrame, id_col: str) -> int:
@@ -42,6 +47,7 @@ def assign_keys(
     start_after: int = 0,
     num_partitions: int | None = None,
     after_max_of: DataFrame | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Add *id_col* = ``start`` + 1-based rank of the row in key order.
 
@@ -49,9 +55,13 @@ def assign_keys(
     when given as a frame (read in the same job as the partition sizes).  *rows* must be
     unique on *key_cols* (callers de-duplicate first).  The tagged rows are
     written once to the shared checkpoint folder, so the ids stay fixed.
+    *written* says that *rows* only scan, filter and project a written table:
+    they are read twice then and not written before.
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
+    if not written:
+        rows = materialize(rows, "new_keys")
     ordered = [F.col(k).asc_nulls_first() for k in key_cols]
     # Without an explicit count AQE sizes the range partitions from the data;
     # it only merges neighbouring ranges, so partition order stays key order.
@@ -82,7 +92,5 @@ def assign_keys(
     before = [0] + list(accumulate(counts))[:-1]
     # id = position - first position of the partition + rows in earlier partitions.
     base = [start_after + 1 + before[p] - sizes.get(p, (0, 0))[1] for p in range(width)]
-    base_arr = F.array(*[F.lit(b).cast("long") for b in base])
-    return tagged.withColumn(
-        id_col, (F.col(_POS) + F.element_at(base_arr, F.col(_PART) + 1)).cast("long")
-    ).drop(_PART, _POS)
+    offsets = spark.createDataFrame(pa.table({_PART: pa.array(range(width), pa.int32()), _BASE: pa.array(base, pa.int64())}))
+    return tagged.join(F.broadcast(offsets), _PART).withColumn(id_col, F.col(_POS) + F.col(_BASE)).drop(_PART, _POS, _BASE)

@@ -129,7 +129,7 @@ def upsert_results(result: DataFrame, incoming: DataFrame, ts_col: str = "load_t
         kept = untouched.unionByName(kept)
     fresh = classified.filter(F.col("action") == "new").select(
         "batch_id", "parameter_id", "value", ts_col)
-    with_ids = assign_keys(fresh, ["batch_id", "parameter_id"], "result_id",
+    with_ids = assign_keys(fresh, ["batch_id", "parameter_id"], "result_id", written=True,
                            **_after(result, max_id))
     inserted = conform(_timestamps(with_ids, F.col(ts_col)), "result")
     return Upserted(kept.unionByName(inserted), classified, inserted)

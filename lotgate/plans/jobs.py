@@ -4,6 +4,7 @@
     history_migration  -> flat history file to the six tables (M-1, M-2)
     batch_validation   -> upload folder through the gate; audit, staging, valid set (R-1, R-2)
     batch_load         -> valid set into batch and result; dry run unless committed (L-1 to L-3, U-7)
+    load_review        -> results of the batches of the last published load, sorted (L-3)
     verify_store       -> violated constraints of the stored tables (Q-1 to Q-3)
 
 Validation and load share only the stored valid-staging table, as two
@@ -16,10 +17,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lotgate.operators.constraints import constraint_report
-from lotgate.plans.load import Load, recurring_load
+from lotgate.plans.load import CHANGES_TABLE, Load, recurring_load, review_published
 from lotgate.plans.migrate import migration_summary, migrate_history
 from lotgate.plans.publish import Append, ModelStore
 from lotgate.plans.reread import parsed_uploads
@@ -48,10 +48,9 @@ def history_migration(spark: SparkSession, root: str, source: str,
     history = materialize(read_history(spark, source, multiline), "history")  # parsed once, read by several steps
     mig = migrate_history(history, store.read_model(), run_ts=run_ts)
     store.publish({**{k: Append(mig.inserted[k]) for k in MODEL_TABLES}, SKIPPED_TABLE: mig.skipped}, run_id="history")
-    model = dict(store.read_model())
-    skipped = model.pop(SKIPPED_TABLE).agg(F.lit(SKIPPED_TABLE).alias("table_name"), F.count("*").alias("record_count"))
-    counts = migration_summary(model)
-    return counts.unionByName(skipped.toDF(*counts.columns))
+    after = store.read_model()
+    counts = migration_summary(after)
+    return counts.unionByName(spark.createDataFrame([(SKIPPED_TABLE, after.n_rows(SKIPPED_TABLE))], counts.schema))
 
 
 @dataclass
@@ -100,3 +99,11 @@ def batch_load(spark: SparkSession, root: str, commit: bool = False) -> Load:
     if commit:
         store.publish(load.delta, run_id="load")
     return load
+
+
+def load_review(spark: SparkSession, root: str) -> DataFrame:
+    """The review of the last published load, in a process of its own."""
+    model = ModelStore(root, spark).read_model()
+    if CHANGES_TABLE not in model:
+        raise KeyError(f"no load has been published in {root}")
+    return review_published(model)

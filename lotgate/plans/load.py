@@ -9,7 +9,9 @@ publishing, U-7).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,17 +21,27 @@ from lotgate.operators.constraints import DuplicateResultsError, check_inserted,
 from lotgate.operators.lookups import bounded_broadcast, hierarchy_dim, lookup_manufacturer, resolve_keys
 from lotgate.operators.upsert import insert_if_absent, upsert_results
 from lotgate.plans.publish import Append, Buckets, Snapshot, bucket_of
+from lotgate.schemas import MODEL_TABLES
 from lotgate.session import materialize
 
 
+#: The classified rows of the last published load.
+CHANGES_TABLE = "load_changes"
+
+
 @dataclass
 class Load:
     model: dict[str, DataFrame]
     new_batches: DataFrame
     classified: DataFrame
     summary: DataFrame
-    review: DataFrame
     delta: dict  # what a publish of this load writes
+    make_review: Callable[[], DataFrame] = field(repr=False)
+
+    @cached_property
+    def review(self) -> DataFrame:
+        """Sized and planned when asked for: a load whose review nobody reads runs no job for it."""
+        return self.make_review()
 
 
 def new_batch_rows(valid: DataFrame, manufacturer: DataFrame) -> DataFrame:
@@ -79,8 +91,29 @@ def review_loaded(model: dict[str, DataFrame], valid: DataFrame,
     The touched batches are found first (semi join on the distinct submitted
     names, J-10), so the large result table is joined only on their ids.
     """
-    touched = bounded_broadcast(model["batch"].join(
-        valid.select(F.col("Batch Name").alias("batch_name")).distinct(), "batch_name", "left_semi"))
+    touched = model["batch"].join(
+        valid.select(F.col("Batch Name").alias("batch_name")).distinct(), "batch_name", "left_semi")
+    return _named_results(model, touched, hier)
+
+
+def review_published(model: Snapshot) -> DataFrame:
+    """The review of the last published load (L-3), from its change table: the
+    results of every batch that the load named, as they are stored now, sorted.
+    Of a bucketed table only the buckets of those batches are read."""
+    ids = model[CHANGES_TABLE].select("batch_id").distinct()
+    tables = {name: model[name] for name in MODEL_TABLES if name != "result"}
+    if "result" in model.widths:
+        bucket = bucket_of("batch_id", model.widths["result"]).alias("bucket")
+        # At most a number per bucket, as the commit log has them.
+        tables["result"] = model.buckets("result", only={r["bucket"] for r in ids.select(bucket).distinct().collect()})
+    else:
+        tables["result"] = model["result"]
+    return _named_results(tables, tables["batch"].join(ids, "batch_id", "left_semi"))
+
+
+def _named_results(model: dict[str, DataFrame], touched: DataFrame, hier: DataFrame | None = None) -> DataFrame:
+    """The stored results of the batches *touched*, as names (J-4), sorted (O-3)."""
+    touched = bounded_broadcast(touched)
     if hier is None:
         hier = hierarchy_dim(model["process"], model["unit_operation"], model["parameter"])
     hier = bounded_broadcast(hier)
@@ -146,6 +179,7 @@ def recurring_load(valid: DataFrame, model: dict[str, DataFrame], check: bool =
         new_batches=batches.inserted,
         classified=up.classified,
         summary=load_summary(model, before, {"batch": batches.inserted, "result": up.inserted}),
-        review=review_loaded(reviewed, valid, hier),
-        delta={"batch": Append(batches.inserted), "result": result},
+        delta={"batch": Append(batches.inserted), "result": result, CHANGES_TABLE: up.classified.select(
+            "batch_id", "parameter_id", "action", "old_value", "value", "load_timestamp")},
+        make_review=lambda: review_loaded(reviewed, valid, hier),
     )

@@ -45,6 +45,24 @@ def test_keys_composite_and_stable(spark):
     assert [one[k] for k in sorted(one)] == list(range(1, 61))
 
 
+def test_key_input_is_evaluated_once_and_offsets_are_joined(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(0, 400, numPartitions=5).mapInPandas(count, "id long").select(F.col("id").alias("k"))
+    got = assign_keys(rows, ["k"], "id", start_after=10, num_partitions=6)
+    assert seen.value == 400
+    assert sorted((r.k, r.id) for r in got.collect()) == [(i, i + 11) for i in range(400)]
+    assert seen.value == 400
+    plan = got._jdf.queryExecution().toString()
+    assert "element_at" not in plan and "array(" not in plan
+    assert assign_keys(spark.createDataFrame([], "k long"), ["k"], "id").count() == 0
+
+
 def test_migration_tables(spark):
     m = model(spark)
     assert sorted((r.name, r.manufacturer_id) for r in m["manufacturer"].collect()) == [("Maker A", 1), ("Maker B", 2)]

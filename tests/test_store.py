@@ -6,11 +6,12 @@ import os
 import pytest
 from conftest import frame
 
-from lotgate.plans.load import recurring_load
-from lotgate.plans.migrate import migrate_history
+from lotgate.plans.jobs import load_review
+from lotgate.plans.load import CHANGES_TABLE, recurring_load
+from lotgate.plans.migrate import migrate_history, migration_summary
 from lotgate.plans.publish import Append, Buckets, ModelStore
 from lotgate.plans.validate import validate_uploads
-from lotgate.schemas import MODEL_TABLES, conform
+from lotgate.schemas import KEYS, MODEL_TABLES, conform
 from lotgate.session import run_timestamp, scratch_path
 
 
@@ -77,6 +78,37 @@ def test_untouched_buckets_are_neither_read_nor_written(spark, store):
     assert store.read_model().paths("result") == after.paths("result") and rows_of(store.read("result")) == expected
 
 
+def test_review_is_built_when_asked_for_and_again_from_the_change_table(spark, store):
+    _, load = submit(spark, store, [("H012", "Maker", "1/5/2026", "Main", "A", "Time", "99"),
+                                    ("H022", "Maker", "1/5/2026", "Main", "A", "Time", "22"),
+                                    ("N1", "Maker", "1/6/2026", "Main", "A", "Time", "7")])
+    assert "review" not in vars(load)
+    expected = [tuple(r) for r in load.review.collect()]
+    with pytest.raises(KeyError):
+        load_review(spark, store.root)
+    store.publish(load.delta, run_id="load")
+    review = load_review(spark, store.root)
+    got = [tuple(r) for r in review.collect()]
+    assert got == expected and len(got) == 5  # both results of H012 and H022, one of N1
+    assert [r[0] for r in got] == ["H012", "H012", "H022", "H022", "N1"]
+    assert {p.rsplit("/", 1)[0].rsplit("=", 1)[1] for p in review.inputFiles() if "/result/bucket=" in p} == {"1", "2", "4"}
+    changes = {(r.action, r.old_value, r.value) for r in store.read(CHANGES_TABLE).collect()}
+    assert changes == {("updated", "12.0", "99.0"), ("unchanged", "22.0", "22.0"), ("new", None, "7.0")}
+
+
+def test_counts_of_the_commit_log(spark, store):
+    snapshot = store.read_model()
+    for name in MODEL_TABLES:
+        table = snapshot[name]
+        assert snapshot.n_rows(name) == table.count()
+        assert snapshot.max_id(name) == table.agg({KEYS[name].id_col: "max"}).first()[0]
+    # A table without a declared schema, an empty one and one by a shuffle.
+    store.publish({"notes": spark.range(7).groupBy("id").count(), "none": spark.range(0)}, run_id="notes")
+    snapshot = store.read_model()
+    assert snapshot.n_rows("notes") == 7 and snapshot.n_rows("none") == 0
+    assert {r[0]: r[1] for r in migration_summary(snapshot).collect()} == {name: snapshot[name].count() for name in MODEL_TABLES}
+
+
 def test_a_second_audit_run_writes_only_its_new_rows(spark, store):
     rows = [("X1", "Nobody", "1/6/2026", "Main", "A", "Time", str(i)) for i in range(5)]
     val, _ = submit(spark, store, rows)
