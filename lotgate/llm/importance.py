@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def _weigh(log_ratio, buckets: int, seed: int):
             doc, bucket = hashed_grams(texts, buckets, ORDERS, plain=False)
             weight = np.bincount(doc, ratio[bucket], len(texts))
             ids = column(batch, "doc_id")
-            number = pa.compute.fill_null(ids, -1).to_numpy()
+            number = pc.fill_null(ids, -1).to_numpy()
             key = ordered_bits(weight + gumbel(number, seed))
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.bincount(doc, minlength=len(texts)).astype(np.int64)), pa.array(weight), pa.array(key)],
                                              ["doc_id", "n_grams", "log_importance", "key"])

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -284,7 +285,7 @@ def _scored(n: int, v: int, end_count: int, log_end: float, frequent):
         mine = next((np.frombuffer(x, np.int32) for x in scores["frequent"].to_pylist() if x is not None), np.zeros(0, np.int32))
         known, log_p = np.zeros(len(mine), np.int64), np.zeros(len(mine))
         known[mine >= 0], log_p[mine >= 0] = c[mine[mine >= 0]], log[mine[mine >= 0]]
-        scores = scores.filter(pa.compute.is_valid(scores["place"]))
+        scores = scores.filter(pc.is_valid(scores["place"]))
         known[scores["place"].to_numpy()], log_p[scores["place"].to_numpy()] = scores["c"].to_numpy(), scores["log_p"].to_numpy()
         below = np.log10(n + 0.5 * (v + 1))
         base = np.log10(known + 0.5) - below

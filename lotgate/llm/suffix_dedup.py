@@ -37,6 +37,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,7 +140,7 @@ def _unpacked(row: dict) -> np.ndarray:
 def _lists(batch: pa.RecordBatch, name: str):
     """The intervals of each row of *batch* as rows of numbers."""
     values = column(batch, name)
-    sizes = np.append(0, np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(values), 0).to_numpy()))
+    sizes = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(values), 0).to_numpy()))
     flat = values.flatten()
     rows = np.stack([x.to_numpy(zero_copy_only=False) for x in flat.flatten()], 1) if len(flat) else np.zeros((0, 3), np.int32)
     return (rows[a:b] for a, b in zip(sizes[:-1].tolist(), sizes[1:].tolist()))

@@ -1,6 +1,9 @@
 """Joins and deduplication against brute force."""
 
 import hashlib
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -291,3 +294,14 @@ def test_settled_rows_do_not_depend_on_the_parts(spark, docs, monkeypatch):  # n
         rows = suffix_dedup.remove_repeats(docs).select("row.doc_id", "kept", "removed").collect()
         seen.append((found["settled"], sorted(map(str, rows))))
     assert seen[0] == seen[1] and sum(r["count"] for r in seen[0][0]) > 0
+
+
+def test_tasks_import_what_they_call():
+    """A fresh worker has only the modules that the functions' own module imports."""
+    code = ("import pyarrow as pa; from lotgate.llm import suffix_dedup as s;"
+            "vars(pa).pop('compute', None);"  # another module may have loaded it here
+            "kind = pa.list_(pa.struct([(c, pa.int32()) for c in 'abc']));"
+            "batch = pa.RecordBatch.from_arrays([pa.array([[{'a': 1, 'b': 2, 'c': 3}], None], kind)], ['edges']);"
+            "assert [x.tolist() for x in s._lists(batch, 'edges')] == [[[1, 2, 3]], []]")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
