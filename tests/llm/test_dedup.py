@@ -298,8 +298,8 @@ def test_settled_rows_do_not_depend_on_the_parts(spark, docs, monkeypatch):  # n
 
 def test_tasks_import_what_they_call():
     """A fresh worker has only the modules that the functions' own module imports."""
-    code = ("import pyarrow as pa; from lotgate.llm import suffix_dedup as s;"
-            "vars(pa).pop('compute', None);"  # another module may have loaded it here
+    code = ("import pyarrow as pa, pyarrow.compute; from lotgate.llm import suffix_dedup as s;"
+            "vars(pa).pop('compute', None);"  # as where no other module has loaded it
             "kind = pa.list_(pa.struct([(c, pa.int32()) for c in 'abc']));"
             "batch = pa.RecordBatch.from_arrays([pa.array([[{'a': 1, 'b': 2, 'c': 3}], None], kind)], ['edges']);"
             "assert [x.tolist() for x in s._lists(batch, 'edges')] == [[[1, 2, 3]], []]")
