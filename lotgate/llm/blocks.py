@@ -17,6 +17,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -134,18 +135,17 @@ def text_blocks(batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES,
     """Cut Arrow batches into runs of rows of about *limit* bytes of text.
 
     *column* arrives as binary (cast in Spark); null becomes the empty text.
+    Only one run's texts are Python objects at a time.
     """
     for batch in batches:
-        values = batch.column(batch.schema.get_field_index(column)).to_pylist()
-        texts = [v or b"" for v in values]
-        begin = held = 0
-        for i, text in enumerate(texts):
-            if held and held + len(text) > limit:
-                yield batch.slice(begin, i - begin), texts[begin:i]
-                begin, held = i, 0
-            held += len(text) + 1
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+        values = batch.column(batch.schema.get_field_index(column))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        begin = 0
+        while begin < len(ends):
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + limit + 1, "right")))
+            yield batch.slice(begin, end - begin), [v or b"" for v in values.slice(begin, end - begin).to_pylist()]
+            begin = end
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

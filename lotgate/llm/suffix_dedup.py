@@ -45,7 +45,7 @@ from .anchors import anchors
 from .blocks import Block, column, signed, text_blocks
 from .tables import discard, keep, partitions_for
 
-FLUSH = 1 << 20  # anchors that a task holds before it hands them on
+FLUSH = 1 << 18  # anchors that a task holds before it hands them on; sorting them takes some ten times their 42 bytes
 BLOCK = 1 << 20
 _LAST = (1 << 63) - 1
 _ROW = np.dtype([("anchor", "<u8"), ("span", "<u8"), ("key", "<i8"), ("version", "<i8"), ("first", "<i4"), ("count", "u1"), ("ahead", "u1")])
@@ -91,6 +91,7 @@ def _dealt(rows: np.ndarray, parts: int) -> pa.RecordBatch:
     part = np.append((rows["anchor"] >> np.uint64(24)) % np.uint64(parts),
                      parts + (gone["key"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(parts)).astype(np.int32)
     rows = np.concatenate([rows, gone])
+    del gone
     order = np.lexsort((rows["first"], rows["key"], part))
     rows, part = rows[order], part[order]
     cut = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part)).tolist()

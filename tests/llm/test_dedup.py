@@ -305,3 +305,21 @@ def test_tasks_import_what_they_call():
             "assert [x.tolist() for x in s._lists(batch, 'edges')] == [[[1, 2, 3]], []]")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_text_blocks_hold_the_texts_of_one_run():
+    """Of a batch of 20 MB, only the texts of one run become Python objects at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from lotgate.llm.blocks import text_blocks
+
+    texts = [None, b"", *(bytes([65 + i % 26]) * 100_000 for i in range(200))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])
+    tracemalloc.start()
+    sizes = [(rows.num_rows, sum(map(len, found))) for rows, found in text_blocks([batch], 1_000_000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [sum(x) for x in zip(*sizes)] == [202, 20_000_000] and max(n for _, n in sizes) <= 1_000_000
+    assert peak < 5_000_000
