@@ -58,3 +58,29 @@ def test_audit_json_is_not_shuffled(spark, monkeypatch):
     rows = audit_rejections(staged, empty_table(spark, "rejected_records"), F.lit("2026-01-01").cast("timestamp")).inserted
     assert [(r["rejected_id"], '"Batch Name":"B0"' in r["raw_data"], "rejection_rule" in r["raw_data"]) for r in rows.collect()] == [(1, True, False)]
     assert written and not any("raw_data" in columns for columns in written)
+
+
+def test_history_groups_where_the_orders_left_its_rows(spark, tmp_path):
+    """By shuffle joins alone, the line items move by part and by order, and not for the suppliers or the groups."""
+    from datetime import datetime
+
+    from lotgate import fixtures
+
+    tables = {
+        "lineitem": (["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"], [(i // 2, i % 2, i % 2, float(i)) for i in range(12)]),
+        "orders": (["o_orderkey", "o_custkey", "o_orderdate"], [(i, i, datetime(2026, 1, i + 1)) for i in range(6)]),
+        "part": (["p_partkey", "p_name", "p_brand", "p_type"], [(0, "n0", "u", "p"), (1, "n1", "u", "p")]),
+        "supplier": (["s_suppkey", "s_name"], [(0, "S0"), (1, "S1"), (2, "S2")]),
+    }
+    for name, (columns, rows) in tables.items():
+        spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        history = fixtures.hist(spark, str(tmp_path))
+        plan = history._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(l_orderkey") == 1
+        rows = {(r["Batch Name"], r["Manufacturer"], r["DoM"], r["Parameter"], r["Value"]) for r in history.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert rows == {(f"O{i // 2}", f"S{i // 2 % 3}", f"1/{i // 2 + 1}/2026", f"n{i % 2}", f"{float(i)}") for i in range(12) if i // 2 % 4}
