@@ -60,6 +60,29 @@ def test_audit_json_is_not_shuffled(spark, monkeypatch):
     assert written and not any("raw_data" in columns for columns in written)
 
 
+def test_submitted_batches_are_found_once(spark, monkeypatch):
+    """Beyond the broadcast bound the names filter the batch table; the rows behind them are read once for all."""
+    from lotgate.plans import load
+
+    model = migrate_history(frame(spark, ROWS[:10])).model
+    uploads = frame(spark, [(*r, "f.csv") for r in ROWS], extra=["source_file"])
+    valid = validate_uploads(uploads, model).valid
+    find, counts = load.new_batch_rows, []
+
+    def counted(rows, manufacturer):
+        rows, seen = _counted(rows, spark)
+        counts.append(seen)
+        return find(rows, manufacturer)
+    monkeypatch.setattr(load, "new_batch_rows", counted)
+    spark.conf.set("lotgate.broadcast.maxRows", "1")
+    try:
+        loaded = load.recurring_load(valid, model)
+        assert (loaded.new_batches.count(), loaded.model["result"].count()) == (5, 20)
+    finally:
+        spark.conf.unset("lotgate.broadcast.maxRows")
+    assert [c.value for c in counts] == [len(ROWS)]
+
+
 def test_history_groups_where_the_orders_left_its_rows(spark, tmp_path):
     """By shuffle joins alone, the line items move by part and by order, and not for the suppliers or the groups."""
     from datetime import datetime
