@@ -107,3 +107,33 @@ def test_history_groups_where_the_orders_left_its_rows(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert rows == {(f"O{i // 2}", f"S{i // 2 % 3}", f"1/{i // 2 + 1}/2026", f"n{i % 2}", f"{float(i)}") for i in range(12) if i // 2 % 4}
+
+
+def _tables(spark, folder):
+    from datetime import datetime
+
+    tables = {
+        "lineitem": (["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"], [(i // 2, i % 2, i % 2, float(i)) for i in range(12)]),
+        "orders": (["o_orderkey", "o_custkey", "o_orderdate"], [(i, i, datetime(2026, 1, i + 1)) for i in range(6)]),
+        "part": (["p_partkey", "p_name", "p_brand", "p_type"], [(0, "n0", "u", "p"), (1, "n1", "u", "p")]),
+        "supplier": (["s_suppkey", "s_name"], [(0, "S0"), (1, "S1"), (2, "S2")]),
+    }
+    for name, (columns, rows) in tables.items():
+        spark.createDataFrame(rows, columns).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_rows_are_not_shuffled_to_meet_the_hierarchy(spark, tmp_path):
+    from lotgate.registry import queries
+
+    _tables(spark, tmp_path)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("anti_single", "anti_hierarchy2", "anti_hierarchy3"):
+            found = queries()[name](spark, str(tmp_path))
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            anti = next(x for x in plan.splitlines() if "LeftAnti" in x)
+            assert "BroadcastHashJoin" in anti, name
+            assert "hashpartitioning(Process" not in plan and "hashpartitioning(Manufacturer" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
