@@ -137,3 +137,19 @@ def test_rows_are_not_shuffled_to_meet_the_hierarchy(spark, tmp_path):
             assert "hashpartitioning(Process" not in plan and "hashpartitioning(Manufacturer" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_audit_json_is_read_once_for_its_fields(spark):
+    from types import SimpleNamespace
+
+    from lotgate import registry
+
+    rows = spark.createDataFrame([
+        ("h1", '{"Batch Name":"B1","Value":null,"rejection_stage":"dom","is_rejected":true,"source_file":"f.csv"}'),
+        ("h2", '{"Batch Name":"a, \\"b\\"","Value":"1.0","is_rejected":false,"more":"x","yet":{"Value":"2"}}'),
+        ("h3", None), ("h3", "{}")], "rejection_hash string, raw_data string").repartition(2)
+    out = registry._reject_json(SimpleNamespace(validation=SimpleNamespace(audit_inserted=rows)))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([
+        ("h1", "B1", None, "dom", True, "f.csv", 5), ("h2", 'a, "b"', "1.0", None, False, None, 5),
+        ("h3", None, None, None, None, None, None), ("h3", None, None, None, None, None, 0)], key=str)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
